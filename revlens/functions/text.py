@@ -44,16 +44,28 @@ def without_stop_words(words, stop_words=MLLIB_ENGLISH_STOP_WORDS) -> Column:
 
 
 def bigrams(words) -> Column:
-    """Adjacent pairs joined by a space (MLlib NGram n=2 semantics)."""
+    """Adjacent pairs joined by a space (MLlib NGram n=2 semantics).
+
+    Built from two slices zipped together, so the word array is referenced a
+    fixed number of times (never inside a per-element lambda)."""
     w = _c(words)
     n = F.size(w)
-    pairs = F.transform(
-        F.sequence(F.lit(0), n - 2),
-        lambda i: F.concat(F.element_at(w, i + 1), F.lit(" "), F.element_at(w, i + 2)),
-    )
+    pairs = F.zip_with(F.slice(w, 1, n - 1), F.slice(w, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.when(n >= 2, pairs).otherwise(F.array().cast("array<string>"))
 
 
+def explode_rows(arr, name: str, with_pos: bool = False) -> list[Column]:
+    """Generator columns for an array that is an expensive expression.
+
+    Plain ``explode`` makes Catalyst infer ``size(arr) > 0`` and push it into
+    the scan, evaluating the whole cleaning chain twice per row; the
+    ``_outer`` form has no inferred filter -- callers drop the null rows that
+    empty arrays produce (``where(name IS NOT NULL)``)."""
+    if with_pos:
+        return [F.posexplode_outer(_c(arr)).alias("pos", name)]
+    return [F.explode_outer(_c(arr)).alias(name)]
+
+
 def text_preview(text, n: int) -> Column:
     t = _c(text)
     return F.when(F.length(t) > n, F.concat(F.substring(t, 1, n), F.lit("..."))).otherwise(t)

@@ -7,15 +7,50 @@ The same definitions are written as DuckDB SQL in ``revlens.plans.oracle``.
 
 from __future__ import annotations
 
+import os
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.labels import label_name, score_label
 from revlens.functions.text import clean_text, full_text
+from revlens.session import scratch_path
 from revlens.sources.files import table
 
+_STORED: dict[tuple, str] = {}
+_LOCK = threading.Lock()
+
+
+def stored(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """Materialise a derived view once per application as Parquet under the
+    shared ``spark.checkpoint.dir`` and read it back.
+
+    This is the stored review table a deployment keeps (reviews are written
+    once by the scoring job and read by every report).  Writing it cuts the
+    lineage, so a lost executor re-reads files instead of recomputing the
+    four-way join.  Rows are hash-distributed by ``Id``: no key can skew the
+    files, and AQE sizes the partitions from the real shuffle volume.
+    Set ``revlens.fixtures.materialize=false`` to run on the lazy view.
+    """
+    if spark.conf.get("revlens.fixtures.materialize", "true").lower() != "true":
+        return build(spark, sf_dir)
+    key = (name, os.path.realpath(sf_dir), spark.sparkContext.applicationId)
+    with _LOCK:
+        path = _STORED.get(key)
+        if path is None:
+            path = scratch_path(spark, "fixtures", name)
+            build(spark, sf_dir).repartition("Id").write.mode("overwrite").parquet(path)
+            _STORED[key] = path
+    return spark.read.parquet(path)
+
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored-review table (stored form of ``reviews_view``)."""
+    return stored(spark, "reviews", sf_dir, reviews_view)
+
+
+def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored reviews: one row per order that has lines.
 
     Plan shape: lineitem is pre-aggregated per order (map-side partial agg),
