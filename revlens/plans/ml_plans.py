@@ -1 +1,136 @@
-"""Queries (filled in below)."""
+"""Featurisation, model and lifecycle queries (rows-only checks).
+
+The featurised splits are written once per application as a Parquet table
+partitioned by ``split`` under ``spark.checkpoint.dir`` and read back: model
+fits and evaluations then start from files, not from the cleaning lineage.
+"""
+
+from __future__ import annotations
+
+import os
+import threading
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from revlens.ml import features as FE
+from revlens.ml import lifecycle as LC
+from revlens.ml import models as MO
+from revlens.operators import prep as PR
+from revlens.plans.registry import register
+from revlens.session import scratch_path
+from revlens.sources.fixtures import review_text, reviews
+
+_CACHE: dict = {}
+_LOCK = threading.RLock()
+
+
+def prepared(spark, sf_dir):
+    """Cleaned, length-filtered, labelled, split review_text."""
+    r = PR.min_length(PR.with_cleaned_text(review_text(spark, sf_dir)))
+    return PR.assign_split(r.select("Id", "cleaned_text", "label"))
+
+
+def featurised(spark, sf_dir):
+    """(featuriser model, path of the featurised split table)."""
+    key = (os.path.realpath(sf_dir), spark.sparkContext.applicationId)
+    with _LOCK:
+        if key not in _CACHE:
+            rows = prepared(spark, sf_dir)
+            fz = FE.feature_pipeline().fit(rows.where(F.col("split") == "train"))
+            path = scratch_path(spark, "features")
+            FE.with_label_index(fz.transform(rows)).select("Id", "label", "label_idx", "split", "features").write.partitionBy(
+                "split").parquet(path)
+            _CACHE[key] = (fz, path)
+        return _CACHE[key]
+
+
+def splits(spark, sf_dir):
+    fz, path = featurised(spark, sf_dir)
+    t = spark.read.parquet(path)
+    train = PR.with_class_weights(t.where(F.col("split") == "train"), "label")
+    return fz, train, t.where(F.col("split") == "val"), t.where(F.col("split") == "test")
+
+
+def _lr(spark, sf_dir):
+    key = ("lr", os.path.realpath(sf_dir), spark.sparkContext.applicationId)
+    with _LOCK:
+        if key not in _CACHE:
+            _, train, _, _ = splits(spark, sf_dir)
+            _CACHE[key] = MO.logistic_regression(30, 0.05).fit(train)
+        return _CACHE[key]
+
+
+@register("tfidf_features", None, ("ML08", "ML06", "ML07", "SK05", "FN19", "UD04"))
+def q_tfidf(spark, sf_dir):
+    _, path = featurised(spark, sf_dir)
+    t = spark.read.parquet(path)
+    arr = vector_to_array("features")
+    return t.select("Id", "split", "label_idx", F.size(arr).alias("dimension"),
+                    F.size(F.filter(arr, lambda x: x != 0)).alias("non_zeros"))
+
+
+@register("feature_checks", None, ("ML16", "ML23"))
+def q_feature_checks(spark, sf_dir):
+    fz, path = featurised(spark, sf_dir)
+    return FE.feature_checks(fz, spark.read.parquet(path))
+
+
+@register("lr_predictions", None, ("ML09",))
+def q_lr(spark, sf_dir):
+    _, _, _, test = splits(spark, sf_dir)
+    return MO.predictions(_lr(spark, sf_dir), test)
+
+
+@register("nb_predictions", None, ("ML10",))
+def q_nb(spark, sf_dir):
+    _, train, _, test = splits(spark, sf_dir)
+    return MO.predictions(MO.naive_bayes().fit(train), test)
+
+
+@register("rf_predictions", None, ("ML11",))
+def q_rf(spark, sf_dir):
+    _, train, _, test = splits(spark, sf_dir)
+    return MO.predictions(MO.random_forest(20, 8).fit(train), test)
+
+
+@register("model_comparison", None, ("ML12",))
+def q_compare(spark, sf_dir):
+    _, train, val, _ = splits(spark, sf_dir)
+    return MO.compare_models(train, val, rf_trees=20, rf_depth=8)
+
+
+@register("tuning_results", None, ("ML13", "TK10"))
+def q_tuning(spark, sf_dir):
+    _, train, val, _ = splits(spark, sf_dir)
+    return MO.tune(train, val)
+
+
+@register("loss_history", None, ("ML14",))
+def q_loss(spark, sf_dir):
+    """Final refit on train + val with weights recomputed on the union."""
+    _, train, val, _ = splits(spark, sf_dir)
+    full = PR.with_class_weights(PR.union_splits(train.drop("class_weight"), val), "label")
+    return MO.loss_history(MO.logistic_regression(60, 0.05).fit(full))
+
+
+@register("threshold_override", None, ("ML17",))
+def q_threshold(spark, sf_dir):
+    _, _, _, test = splits(spark, sf_dir)
+    return MO.apply_negative_threshold(MO.predictions(_lr(spark, sf_dir), test), 0.35)
+
+
+@register("scored_reviews", None, ("ML18", "UD02"))
+def q_scored(spark, sf_dir):
+    """Score the stored reviews with the featuriser + LR trained on review_text."""
+    fz, _ = featurised(spark, sf_dir)
+    r = PR.with_cleaned_text(reviews(spark, sf_dir).select("Id", "ProductId", "Score", "Summary", "Text"))
+    return MO.score(fz, _lr(spark, sf_dir), r).select("Id", "ProductId", "Score", "predicted_sentiment", "confidence")
+
+
+@register("retrain_metrics", None, ("ML20", "ML22"))
+def q_retrain(spark, sf_dir):
+    fz, _ = featurised(spark, sf_dir)
+    rows = prepared(spark, sf_dir).drop("split")
+    _, metrics = LC.retrain(rows, fz)
+    return metrics

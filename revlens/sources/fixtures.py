@@ -19,7 +19,7 @@ from revlens.session import scratch_path
 from revlens.sources.files import table
 
 _STORED: dict[tuple, str] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def stored(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
