@@ -28,7 +28,7 @@ def get_session(master: str | None = None, app: str = "revlens", conf: dict | No
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
