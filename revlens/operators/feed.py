@@ -50,3 +50,11 @@ def review_search(df: DataFrame, product_id=None, start=None, end=None, sentimen
         q = q.where(F.col("predicted_sentiment") == sentiment)
     q = q.select("Id", "ProductId", "Score", "predicted_sentiment", "processed_at")
     return top_k(q, [F.desc("processed_at"), F.desc("Id")], limit)
+
+
+def parse_cursor(df: DataFrame, iso_col: str = "last_time", lookback: str = "5 minutes") -> DataFrame:
+    """FN13: resume timestamp from an ISO string; unparseable or missing
+    values fall back to ``now - lookback`` (session time zone UTC)."""
+    t = F.try_to_timestamp(F.regexp_replace(F.col(iso_col), "Z$", ""))
+    fallback = F.current_timestamp() - F.expr(f"INTERVAL {lookback}")
+    return df.withColumn("cursor_ts", F.coalesce(t, fallback).cast("timestamp_ntz"))

@@ -56,6 +56,8 @@ def kpis(scored: DataFrame, approx_products: bool = False) -> DataFrame:
         F.col("unique_products").cast("long").alias("unique_products"),
         "correct_predictions",
         ratio_half_up("correct_predictions", "total", 100, 1).alias("model_accuracy"),
+        # PJ12: overall health index (positive share - negative share), 3 dp
+        ratio_half_up("positive_count - negative_count", "total", 1, 3).alias("health_index"),
     )
 
 

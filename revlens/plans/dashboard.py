@@ -27,13 +27,14 @@ SELECT total, positive_count, negative_count, neutral_count,
        {rhu('neutral_count', 'total', 100, 1)} AS neutral_pct,
        {rhu('ss', 'sn', 1, 2)} AS avg_score,
        unique_products, correct_predictions,
-       {rhu('correct_predictions', 'total', 100, 1)} AS model_accuracy
+       {rhu('correct_predictions', 'total', 100, 1)} AS model_accuracy,
+       {rhu('positive_count - negative_count', 'total', 1, 3)} AS health_index
 FROM a""",
     "reviews",
 )
 
 
-@register("kpis", KPIS_SQL, ("AG12", "AG11", "AG30"))
+@register("kpis", KPIS_SQL, ("AG12", "AG11", "AG30", "PJ12", "FN14", "FN15"))
 def q_kpis(spark, sf_dir):
     return M.kpis(reviews(spark, sf_dir))
 

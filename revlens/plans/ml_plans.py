@@ -134,3 +134,38 @@ def q_retrain(spark, sf_dir):
     rows = prepared(spark, sf_dir).drop("split")
     _, metrics = LC.retrain(rows, fz)
     return metrics
+
+
+@register("overfit_check", None, ("ML23", "FN16"))
+def q_overfit(spark, sf_dir):
+    _, _, val, test = splits(spark, sf_dir)
+    m = _lr(spark, sf_dir)
+    return MO.overfit_check(MO.evaluate(m, val), MO.evaluate(m, test))
+
+
+@register("model_runs_history", None, ("ML21", "ML22", "SC09", "TK07", "TK08", "TK09", "FL15", "PJ17", "SK06", "SK07", "SC10"))
+def q_model_runs(spark, sf_dir):
+    """The lifecycle over the tuning grid: each grid point is a training run;
+    the promotion gate decides against the best promoted run so far; the
+    promoted model is saved under a versioned path and reloaded; the history
+    view shows the newest runs with improvement over the previous one."""
+    from revlens.sources.schemas import MODEL_RUNS
+
+    _, train, val, _ = splits(spark, sf_dir)
+    runs = spark.createDataFrame([], MODEL_RUNS)
+    base = scratch_path(spark, "models")
+    for i, (it, reg) in enumerate(MO.PARAM_GRID):
+        m = MO.logistic_regression(it, reg).fit(train)
+        e = MO.evaluate(m, val).collect()[0]  # one metric row
+        d = LC.promotion_decision(runs, float(e.f1_weighted)).collect()[0]
+        path = LC.save_model(m, base, f"v{i}") if d.promoted else ""
+        rec = LC.run_record(spark, f"run{i:03d}", f"lr_it{it}_reg{reg}", {"maxIter": it, "regParam": reg},
+                            {"f1_weighted": e.f1_weighted, "accuracy": e.accuracy, "f1_macro": e.f1_macro},
+                            {"promoted": bool(d.promoted)}, path)
+        rec = rec.withColumn("start_time", F.lit(f"2024-01-01 00:00:00").cast("timestamp") + F.expr(f"INTERVAL {i} HOURS"))
+        runs = runs.unionByName(rec)
+    runs = runs.checkpoint(eager=True)
+    best = LC.latest_model(runs).collect()[0]
+    if best.model_path:
+        LC.load_classifier(best.model_path)  # the promoted version reloads
+    return LC.model_history(runs)

@@ -25,3 +25,12 @@ def test_dedup_deliveries(spark):
     df = spark.createDataFrame([(1, t2), (1, t1), (2, t1)], "Id int, delivered_at timestamp_ntz")
     got = sorted((r.Id, r.first_delivered_at, r.deliveries) for r in dedup_deliveries(df).collect())
     assert got == [(1, t1, 2), (2, t1, 1)]
+
+
+def test_parse_cursor(spark):
+    from revlens.operators.feed import parse_cursor
+
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("garbage",), (None,)], "last_time string")
+    got = [r.cursor_ts for r in parse_cursor(df).collect()]
+    assert got[0] == datetime(2024, 1, 2, 3, 4, 5)
+    assert got[1] is not None and got[2] is not None and got[1] > datetime(2024, 6, 1)
