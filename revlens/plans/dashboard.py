@@ -138,7 +138,7 @@ p AS (
 w AS (SELECT * FROM p ORDER BY health_score ASC, product_id ASC LIMIT 50)"""
 
 
-@register("watchlist", with_fixtures(f"WITH {_WATCHLIST_CTES} SELECT * FROM w", "reviews"), ("AG20", "TK04", "PJ11", "PJ13"))
+@register("watchlist", with_fixtures(f"WITH {_WATCHLIST_CTES} SELECT * FROM w", "reviews"), ("AG20", "TK04", "PJ11", "PJ13", "SC06"))
 def q_watchlist(spark, sf_dir):
     return M.watchlist(reviews(spark, sf_dir), "health_score", "asc")
 

@@ -269,3 +269,18 @@ def q_feed_page(spark, sf_dir):
 
     r = reviews(spark, sf_dir).select("Id", "ProductId", "predicted_sentiment", "processed_at")
     return feed_page(r, "1998-06-01 00:00:00", 5000, 10)
+
+
+@register("scan_csv_roundtrip", with_fixtures("SELECT " + ", ".join(
+    ["Id", "ProductId", "UserId", "ProfileName", "HelpfulnessNumerator", "HelpfulnessDenominator", "Score", "Time", "Summary", "Text"]
+) + " FROM reviews", "reviews"), ("SC01",))
+def q_scan_csv(spark, sf_dir):
+    """SC01: reviews written as CSV (quoted multi-line text) and read back
+    with the explicit schema, then converted once to Parquet."""
+    from revlens.session import scratch_path
+    from revlens.sources.files import csv_to_parquet, write_review_csv
+    from revlens.sources.schemas import RAW_COLUMNS
+
+    csv = scratch_path(spark, "csv")
+    write_review_csv(reviews(spark, sf_dir).select(*RAW_COLUMNS), csv)
+    return csv_to_parquet(spark, csv, scratch_path(spark, "csv-parquet"))

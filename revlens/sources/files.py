@@ -31,6 +31,8 @@ def read_review_csv(spark: SparkSession, path: str, schema=RAW_REVIEW) -> DataFr
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
@@ -41,7 +43,8 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str, schema=RAW
 
 
 def write_review_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def to_messages(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
