@@ -158,7 +158,7 @@ def q_watchlist_status_counts(spark, sf_dir):
 WITH c AS ({_COUNTS}),
 h AS (SELECT ProductId, row_number() OVER (ORDER BY review_count DESC, ProductId) AS shortcut_rank
       FROM c ORDER BY review_count DESC, ProductId LIMIT 10)
-SELECT c.ProductId AS product_id, c.review_count, h.shortcut_rank,
+SELECT c.ProductId AS product_id, c.review_count, CAST(h.shortcut_rank AS INTEGER) AS shortcut_rank,
        coalesce(h.shortcut_rank = 1, false) AS is_default,
        greatest((SELECT count(*) FROM c) - 10, 0) AS remaining
 FROM c LEFT JOIN h ON c.ProductId = h.ProductId""", "reviews"), ("TK03",))
@@ -180,7 +180,7 @@ def q_product_card(spark, sf_dir):
 
 @register("product_recent_reviews", with_fixtures(
     """
-SELECT ProductId, Id, Score, predicted_sentiment, confidence, processed_at, rank FROM (
+SELECT ProductId, Id, Score, predicted_sentiment, confidence, processed_at, CAST(rank AS INTEGER) AS rank FROM (
   SELECT ProductId, Id, Score, predicted_sentiment, confidence, processed_at,
          row_number() OVER (PARTITION BY ProductId ORDER BY processed_at DESC, Id DESC) AS rank
   FROM reviews) WHERE rank <= 10""", "reviews"), ("TK02",))
@@ -190,7 +190,7 @@ def q_recent(spark, sf_dir):
 
 @register("score_sentiment_mismatch", with_fixtures(
     """
-SELECT ProductId, Id, Score, predicted_sentiment, processed_at, score_sentiment, rank FROM (
+SELECT ProductId, Id, Score, predicted_sentiment, processed_at, score_sentiment, CAST(rank AS INTEGER) AS rank FROM (
   SELECT ProductId, Id, Score, predicted_sentiment, processed_at, score_sentiment,
          row_number() OVER (PARTITION BY ProductId ORDER BY processed_at DESC, Id DESC) AS rank
   FROM (SELECT *, CASE WHEN Score BETWEEN 1 AND 2 THEN 'negative' WHEN Score = 3 THEN 'neutral'

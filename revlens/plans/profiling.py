@@ -47,7 +47,7 @@ def q_label_distribution(spark, sf_dir):
     """
 WITH a AS (SELECT count(length(Text)) AS n, sum(length(Text)) AS sx,
                   sum(CAST(length(Text) AS HUGEINT) * length(Text)) AS sxx,
-                  min(length(Text)) AS min_length, max(length(Text)) AS max_length FROM reviews)
+                  CAST(min(length(Text)) AS INTEGER) AS min_length, CAST(max(length(Text)) AS INTEGER) AS max_length FROM reviews)
 SELECT n AS count, CAST(sx AS DOUBLE) / CAST(n AS DOUBLE) AS mean_length,
        CASE WHEN n < 2 THEN NULL ELSE
          sqrt(CAST(CAST(n AS HUGEINT) * sxx - CAST(sx AS HUGEINT) * sx AS DOUBLE) / CAST(CAST(n AS HUGEINT) * (n - 1) AS DOUBLE)) END
@@ -79,11 +79,11 @@ def q_text_length_histogram(spark, sf_dir):
 
 @register("text_length_quartiles", with_fixtures(
     f"""
-SELECT {label_of()} AS label, min(least(length(Text), 3000)) AS min_length,
+SELECT {label_of()} AS label, CAST(min(least(length(Text), 3000)) AS INTEGER) AS min_length,
        quantile_cont(least(length(Text), 3000), 0.25) AS q1,
        quantile_cont(least(length(Text), 3000), 0.5) AS median,
        quantile_cont(least(length(Text), 3000), 0.75) AS q3,
-       max(least(length(Text), 3000)) AS max_length
+       CAST(max(least(length(Text), 3000)) AS INTEGER) AS max_length
 FROM reviews GROUP BY 1""", "reviews"), ("AG06",))
 def q_text_length_quartiles(spark, sf_dir):
     return P.text_length_quartiles(reviews(spark, sf_dir), score_label("Score"))
@@ -97,7 +97,7 @@ WITH t AS (SELECT {label_of()} AS label, unnest(string_split({clean(full_text())
 c AS (SELECT label, word, count(*) AS count FROM t
       WHERE word <> '' AND NOT list_contains({MLLIB_STOP_SQL}, word) GROUP BY label, word),
 r AS (SELECT label, word, count, row_number() OVER (PARTITION BY label ORDER BY count DESC, word) AS rank FROM c)
-SELECT label, word, count, rank{w} FROM r WHERE rank <= {k}""",
+SELECT label, word, count, CAST(rank AS INTEGER) AS rank{w} FROM r WHERE rank <= {k}""",
         "reviews",
     )
 
