@@ -88,3 +88,13 @@ def test_top_k_per_group_plans_window_group_limit(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert sorted(rows(out, "g", "id")) == [(0, 996), (0, 999), (1, 994), (1, 997), (2, 995), (2, 998)]
+
+
+def test_insights_severity_and_zero_filled_stars(spark):
+    data = [_r(i, "A", 1, "negative") for i in range(4)] + [_r(10 + i, "B", 5, "positive") for i in range(6)]
+    df = _scored(spark, data)
+    lines = {r.line_no: r for r in M.insights(M.kpis(df)).collect()}
+    assert lines[1].severity == "ALERT" and "40.0%" in lines[1].message  # 40% negative > 30
+    assert lines[3].message == "Monitoring 2 unique products"
+    dist = {r.star: (r["count"], r.pct) for r in M.score_distribution(df).collect()}
+    assert dist == {5: (6, 60.0), 4: (0, 0.0), 3: (0, 0.0), 2: (0, 0.0), 1: (4, 40.0)}
