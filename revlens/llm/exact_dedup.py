@@ -22,7 +22,7 @@ table gives no rows.  Only the named id and text columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.llm.common import materialize
@@ -83,11 +83,12 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
              .repartition("bucket").sortWithinPartitions("bucket", "key"))
     index = materialize(spark, index, "index")
 
-    many = index.where("rows > 1").select("key")
+    # one shuffle of texts at every size; the index side is the hash table, so texts are not sorted
+    many = index.where("rows > 1").select("key").hint("shuffle_hash")
     chain = (src.join(many, "key", "left_semi").groupBy("key", "text")
              .agg(F.count("*").alias("size"), F.max("id").alias("keep")))
-    slots_of = chain.groupBy("key").agg(F.count("*").alias("slots"))
-    chain = materialize(spark, chain.join(slots_of.where("slots > 1"), "key"), "chains")
+    slots = Window.partitionBy("key")
+    chain = materialize(spark, chain.withColumn("slots", F.count("*").over(slots)).where("slots > 1"), "chains")
 
     entries = index.select("key", "rows", "top")
     narrow = src.select("id", "key", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
