@@ -49,6 +49,7 @@ def keep_bitmaps(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     ordered = lines.select("hash", "id", "pos").repartitionByRange("hash", "id").sortWithinPartitions("hash", "id", "pos")
     firsts = ordered.groupBy("hash", "id").agg(F.first("pos").alias("pos"))
     repeated = firsts.groupBy("hash").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs).select("hash")
+    repeated = materialize(spark, repeated, "repeated")  # a plain table, so that a skewed join with it can be split
 
     gone = lines.join(repeated, "hash", "left_semi").select("id", "text_key", "n_lines", "pos").distinct()
     own = Window.partitionBy("id", "text_key").orderBy("pos")
