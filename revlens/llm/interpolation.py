@@ -33,14 +33,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revlens.llm.common import materialize
+from revlens.llm.common import discard, materialize
 from revlens.llm.textops import SPACED, mix, pack_planes, text_chunks, unpack_planes, words
+from revlens.session import scratch_path
 
 _U = np.uint64
 END = _U(0x5BD1E995C0FFEE11)  # hash of the end token; it is also the context of a first word
 _LEFT, _RIGHT = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 BUCKETS = 24
+_RESULT = (("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double"))
 
 _CHUNK = ("chunk long, role int, doc_ids array<string>, held array<boolean>, counts binary, vocabulary binary, tokens binary, "
           "gram int, range int, keys binary, train binary, deleted binary")
@@ -52,7 +55,8 @@ def _entries(h: np.ndarray, ends: np.ndarray):
     Returns (unigram hashes, token places in them, bigram hashes ascending, bigram places in them).
     """
     vocabulary, at = np.unique(h, return_inverse=True)
-    before = np.r_[np.searchsorted(vocabulary, END), at[:-1]] if len(at) else at
+    at = at.astype(np.uint32)
+    before = np.r_[np.searchsorted(vocabulary, END).astype(np.uint32), at[:-1]] if len(at) else at
     pairs, pair_at = np.unique((before.astype(_U) << _U(32)) | at.astype(_U), return_inverse=True)
     hashed = mix(vocabulary[(pairs >> _U(32)).astype(np.int64)] * _LEFT + vocabulary[(pairs & _U(0xFFFFFFFF)).astype(np.int64)] * _RIGHT)
     order = np.argsort(hashed)
@@ -88,8 +92,11 @@ def _blocks(docs: DataFrame, ranges: int, chunk_bytes: int) -> DataFrame:
         hashes, counts = texts
         ends = np.cumsum(counts)
         vocabulary, at, before, bigrams, pair_at = _entries(hashes, ends)
+        often = np.argsort(-np.bincount(at, minlength=len(vocabulary)), kind="stable")  # common tokens get small numbers
+        rank = np.empty(len(often), np.uint32)
+        rank[often] = np.arange(len(often), dtype=np.uint32)
         yield _rows(1, chunk=[chunk], role=[role], doc_ids=[ids], held=[held], counts=[counts.astype("<i8").tobytes()],
-                    vocabulary=[vocabulary.tobytes()], tokens=[pack_planes(at.astype(np.uint32))])
+                    vocabulary=[vocabulary[often].tobytes()], tokens=[pack_planes(rank[at])])
         of = np.repeat(np.arange(len(counts)), counts)
         for gram, keys, place in ((1, vocabulary, at), (2, bigrams, pair_at)):
             sums = [np.bincount(place[flag[of]], minlength=len(keys)).astype(np.uint32) if role == 0 else np.zeros(len(keys), np.uint32)
@@ -149,8 +156,9 @@ def _answers(entries: DataFrame) -> DataFrame:
         out = []
         for r, k in zip(rows, keys):
             at = np.searchsorted(known, k)
+            deleted = pack_planes(sums[1][at]) if r["role"] else None  # only the deleted part is scored without itself
             out.append({"chunk": r["chunk"], "role": r["role"], "gram": r["gram"], "range": r["range"],
-                        "train": pack_planes(sums[0][at]), "deleted": pack_planes(sums[1][at]), "types": None, "n": None, "n_deleted": None})
+                        "train": pack_planes(sums[0][at]), "deleted": deleted, "types": None, "n": None, "n_deleted": None})
         if rows[0]["gram"] == 1:
             out.append({"chunk": None, "role": None, "gram": 1, "range": rows[0]["range"], "train": None, "deleted": None,
                         "types": int((sums[0] > 0).sum()), "n": int(sums[0].sum()), "n_deleted": int(sums[1].sum())})
@@ -162,7 +170,7 @@ def _answers(entries: DataFrame) -> DataFrame:
         run, "chunk long, role int, gram int, range int, train binary, deleted binary, types long, n long, n_deleted long")
 
 
-def _chunk_counts(left: pa.Table, right: pa.Table):
+def _chunk_counts(left: pa.Table, right: pa.Table, parts: tuple[str, ...]):
     """A chunk's token row with the corpus counts of its tokens, contexts and bigrams: (row, token counts per document, counts)."""
     row = left.to_pylist()[0]
     counts = np.frombuffer(row["counts"], "<i8").astype(np.int64)
@@ -171,11 +179,10 @@ def _chunk_counts(left: pa.Table, right: pa.Table):
     _, at, before, _, pair_at = _entries(hashes, np.cumsum(counts))
     answers = sorted(right.to_pylist(), key=lambda r: (r["gram"], r["range"]))
     got = {}
-    for gram in (1, 2):
-        for c in ("train", "deleted"):
-            got[gram, c] = np.concatenate([unpack_planes(r[c], np.int64) for r in answers if r["gram"] == gram])
-    uni, pair = ({c: got[g, c] for c in ("train", "deleted")} for g in (1, 2))
-    return row, counts, {c: (uni[c][at], uni[c][before], pair[c][pair_at]) for c in ("train", "deleted")}
+    for c in parts:
+        uni, pair = (np.concatenate([unpack_planes(r[c], np.int64) for r in answers if r["gram"] == gram]) for gram in (1, 2))
+        got[c] = uni[at], uni[before], pair[pair_at]
+    return row, counts, got
 
 
 def _estimates(word, context, pair, n: int, types: int):
@@ -217,7 +224,7 @@ def learn_weights(spark: SparkSession, samples: DataFrame, p0: float, rounds: in
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, train: Column, deleted: Column, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int = 12, range_bytes: int = 16 << 20, chunk_bytes: int = 12 << 20) -> DataFrame:
+                    rounds: int = 12, range_bytes: int = 8 << 20, chunk_bytes: int = 6 << 20) -> DataFrame:
     """One row per row of ``docs``: id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score.
 
     ``train`` marks the documents learned from, ``deleted`` those of them on which the
@@ -228,20 +235,27 @@ def score_documents(spark: SparkSession, docs: DataFrame, train: Column, deleted
     src = docs.select(F.col(id_col).cast("string").alias("id"), text.alias("text"), (~train).alias("held"),
                       train.alias("train"), (train & deleted).alias("deleted"))
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = materialize(spark, _blocks(src, max(1, math.ceil(total / range_bytes)), chunk_bytes), "lm-blocks")
-    entries = blocks.where("keys is not null").select("chunk", "role", "gram", "range", "keys", "train", "deleted")
-    answers = materialize(spark, _answers(entries), "lm-answers")
+    path = scratch_path(spark, "llm", "lm-blocks")
+    blocks = _blocks(src, max(1, math.ceil(total / range_bytes)), chunk_bytes).withColumn("part", F.when(F.col("keys").isNull(), "tokens").otherwise("entries"))
+    blocks.write.partitionBy("part").parquet(path)
+    if src.isEmpty():  # no folders were written
+        return docs.sparkSession.createDataFrame([], T.StructType([T.StructField(id_col, kind)])).select(
+            id_col, *(F.lit(None).cast(t).alias(c) for c, t in _RESULT))
+    table = spark.read.schema(blocks.drop("part").schema)
+    tokens, entries = (table.parquet(f"{path}/part={p}") for p in ("tokens", "entries"))
+    answers = materialize(spark, _answers(entries.select("chunk", "role", "gram", "range", "keys", "train", "deleted")), "lm-answers")
+    discard(spark, f"{path}/part=entries")
     stats = answers.agg(F.sum("types"), F.sum("n"), F.sum("n_deleted")).first()
     types, n, n_deleted = (int(x or 0) for x in stats)
 
     def meet(role: int):
-        left = blocks.where(F.col("tokens").isNotNull() & (F.col("role") == role)).select(
+        left = tokens.where(F.col("role") == role).select(
             "chunk", "doc_ids", "held", "counts", "vocabulary", "tokens")
         right = answers.where(F.col("role") == role).select("chunk", "gram", "range", "train", "deleted")
         return left.groupBy("chunk").cogroup(right.groupBy("chunk"))
 
     def sample(left: pa.Table, right: pa.Table) -> pa.Table:
-        _, _, got = _chunk_counts(left, right)
+        _, _, got = _chunk_counts(left, right, ("train", "deleted"))
         word, context, pair = (a - b for a, b in zip(got["train"], got["deleted"]))
         bucket, p2, p1, _ = _estimates(word, context, pair, n - n_deleted, types)
         return pa.table({"bucket": [bucket.astype(np.uint8).tobytes()], "p2": [p2.astype(np.float32).tobytes()],
@@ -251,7 +265,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, train: Column, deleted
     weights = learn_weights(spark, samples, 1.0 / (types + 1), rounds)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        row, counts, got = _chunk_counts(left, right)
+        row, counts, got = _chunk_counts(left, right, ("train",))
         word, context, pair = got["train"]
         bucket, p2, p1, p0 = _estimates(word, context, pair, n, types)
         own = weights[bucket]
