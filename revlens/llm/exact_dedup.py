@@ -83,10 +83,13 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
              .repartition("bucket").sortWithinPartitions("bucket", "key"))
     index = materialize(spark, index, "index")
 
-    # one shuffle of texts at every size; the index side is the hash table, so texts are not sorted
-    many = index.where("rows > 1").select("key").hint("shuffle_hash")
-    chain = (src.join(many, "key", "left_semi").groupBy("key", "text")
-             .agg(F.count("*").alias("size"), F.max("id").alias("keep")))
+    # One shuffle of texts at every size; the index side is the hash table, so texts are not sorted.  Rows of the keys with
+    # over a thousandth of all rows (so at most a thousand keys) meet a broadcast and are summed per task before they move.
+    rows = index.agg(F.sum("rows")).first()[0] or 0
+    hot, many = F.col("rows") > max(1, rows // 1000), index.where("rows > 1")
+    met = (src.join(many.where(~hot).select("key").hint("shuffle_hash"), "key", "left_semi")
+           .unionByName(src.join(F.broadcast(many.where(hot).select("key")), "key", "left_semi")))
+    chain = met.groupBy("key", "text").agg(F.count("*").alias("size"), F.max("id").alias("keep"))
     slots = Window.partitionBy("key")
     chain = materialize(spark, chain.withColumn("slots", F.count("*").over(slots)).where("slots > 1"), "chains")
 
