@@ -30,12 +30,6 @@ def materialize(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove an intermediate table that later steps no longer read."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def connected_components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, root)`` for every node on an edge; root is the smallest node reachable.
 

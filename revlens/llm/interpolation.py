@@ -33,20 +33,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from revlens.llm.common import discard, materialize
+from revlens.llm.common import materialize
 from revlens.llm.textops import SPACED, mix, pack_planes, text_chunks, unpack_planes, words
-from revlens.session import scratch_path
 
 _U = np.uint64
 END = _U(0x5BD1E995C0FFEE11)  # hash of the end token; it is also the context of a first word
 _LEFT, _RIGHT = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 BUCKETS = 24
-_RESULT = (("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double"))
 
 _CHUNK = ("chunk long, role int, doc_ids array<string>, held array<boolean>, counts binary, vocabulary binary, tokens binary, "
-          "gram int, range int, keys binary, train binary, deleted binary")
+          "gram int, range long, keys binary, train binary, deleted binary, types long, total long, total_deleted long")
 
 
 def _entries(h: np.ndarray, ends: np.ndarray):
@@ -95,7 +92,7 @@ def _blocks(docs: DataFrame, ranges: int, chunk_bytes: int) -> DataFrame:
         often = np.argsort(-np.bincount(at, minlength=len(vocabulary)), kind="stable")  # common tokens get small numbers
         rank = np.empty(len(often), np.uint32)
         rank[often] = np.arange(len(often), dtype=np.uint32)
-        yield _rows(1, chunk=[chunk], role=[role], doc_ids=[ids], held=[held], counts=[counts.astype("<i8").tobytes()],
+        yield _rows(1, chunk=[chunk], role=[role], gram=[0], range=[chunk], doc_ids=[ids], held=[held], counts=[counts.astype("<i8").tobytes()],
                     vocabulary=[vocabulary[often].tobytes()], tokens=[pack_planes(rank[at])])
         of = np.repeat(np.arange(len(counts)), counts)
         for gram, keys, place in ((1, vocabulary, at), (2, bigrams, pair_at)):
@@ -140,11 +137,17 @@ def _blocks(docs: DataFrame, ranges: int, chunk_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, _CHUNK)
 
 
-def _answers(entries: DataFrame) -> DataFrame:
-    """Step 2: owners of hash ranges sum the counts and answer every chunk; one ``stats`` row a range for unigrams."""
+def _answers(blocks: DataFrame) -> DataFrame:
+    """Step 2: owners of hash ranges sum the counts and answer every chunk; one row with types and totals a range of unigrams.
+
+    The token rows pass through the same shuffle, each as a group of its own, so entries are never stored.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
+        gram = table.column("gram")[0].as_py()
+        if not gram:
+            return table
+        rows = table.select(["chunk", "role", "range", "keys", "train", "deleted"]).to_pylist()
         keys = [_undelta(r["keys"]) for r in rows]
         every = np.concatenate(keys)
         order = np.argsort(every, kind="stable")
@@ -153,21 +156,17 @@ def _answers(entries: DataFrame) -> DataFrame:
         known = every[first]
         sums = [np.add.reduceat(np.concatenate([unpack_planes(r[c], np.uint32) for r in rows]).astype(np.int64)[order], first)
                 for c in ("train", "deleted")]
-        out = []
-        for r, k in zip(rows, keys):
-            at = np.searchsorted(known, k)
-            deleted = pack_planes(sums[1][at]) if r["role"] else None  # only the deleted part is scored without itself
-            out.append({"chunk": r["chunk"], "role": r["role"], "gram": r["gram"], "range": r["range"],
-                        "train": pack_planes(sums[0][at]), "deleted": deleted, "types": None, "n": None, "n_deleted": None})
-        if rows[0]["gram"] == 1:
-            out.append({"chunk": None, "role": None, "gram": 1, "range": rows[0]["range"], "train": None, "deleted": None,
-                        "types": int((sums[0] > 0).sum()), "n": int(sums[0].sum()), "n_deleted": int(sums[1].sum())})
-        return pa.Table.from_pylist(out, schema=schema)
-
-    schema = pa.schema([("chunk", pa.int64()), ("role", pa.int32()), ("gram", pa.int32()), ("range", pa.int32()), ("train", pa.binary()),
-                        ("deleted", pa.binary()), ("types", pa.int64()), ("n", pa.int64()), ("n_deleted", pa.int64())])
-    return entries.groupBy("gram", "range").applyInArrow(
-        run, "chunk long, role int, gram int, range int, train binary, deleted binary, types long, n long, n_deleted long")
+        at = [np.searchsorted(known, k) for k in keys]
+        given = {c: [r[c] for r in rows] for c in ("chunk", "role", "range")}
+        out = [_rows(len(rows), **given, gram=[gram] * len(rows), train=[pack_planes(sums[0][x]) for x in at],
+                     # only the deleted part is scored without itself
+                     deleted=[pack_planes(sums[1][x]) if r["role"] else None for r, x in zip(rows, at)])]
+        if gram == 1:
+            out.append(_rows(1, gram=[1], range=[rows[0]["range"]], types=[int((sums[0] > 0).sum())], total=[int(sums[0].sum())],
+                             total_deleted=[int(sums[1].sum())]))
+        return pa.Table.from_batches(out)
+
+    return blocks.groupBy("gram", "range").applyInArrow(run, _CHUNK)
 
 
 def _chunk_counts(left: pa.Table, right: pa.Table, parts: tuple[str, ...]):
@@ -224,7 +223,7 @@ def learn_weights(spark: SparkSession, samples: DataFrame, p0: float, rounds: in
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, train: Column, deleted: Column, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int = 12, range_bytes: int = 8 << 20, chunk_bytes: int = 6 << 20) -> DataFrame:
+                    rounds: int = 12, range_bytes: int = 8 << 20, chunk_bytes: int = 4 << 20) -> DataFrame:
     """One row per row of ``docs``: id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score.
 
     ``train`` marks the documents learned from, ``deleted`` those of them on which the
@@ -235,23 +234,15 @@ def score_documents(spark: SparkSession, docs: DataFrame, train: Column, deleted
     src = docs.select(F.col(id_col).cast("string").alias("id"), text.alias("text"), (~train).alias("held"),
                       train.alias("train"), (train & deleted).alias("deleted"))
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    path = scratch_path(spark, "llm", "lm-blocks")
-    blocks = _blocks(src, max(1, math.ceil(total / range_bytes)), chunk_bytes).withColumn("part", F.when(F.col("keys").isNull(), "tokens").otherwise("entries"))
-    blocks.write.partitionBy("part").parquet(path)
-    if src.isEmpty():  # no folders were written
-        return docs.sparkSession.createDataFrame([], T.StructType([T.StructField(id_col, kind)])).select(
-            id_col, *(F.lit(None).cast(t).alias(c) for c, t in _RESULT))
-    table = spark.read.schema(blocks.drop("part").schema)
-    tokens, entries = (table.parquet(f"{path}/part={p}") for p in ("tokens", "entries"))
-    answers = materialize(spark, _answers(entries.select("chunk", "role", "gram", "range", "keys", "train", "deleted")), "lm-answers")
-    discard(spark, f"{path}/part=entries")
-    stats = answers.agg(F.sum("types"), F.sum("n"), F.sum("n_deleted")).first()
+    answers = materialize(spark, _answers(_blocks(src, max(1, math.ceil(total / range_bytes)), chunk_bytes)), "lm-answers")
+    tokens = answers.where("gram = 0")
+    stats = answers.agg(F.sum("types"), F.sum("total"), F.sum("total_deleted")).first()
     types, n, n_deleted = (int(x or 0) for x in stats)
 
     def meet(role: int):
         left = tokens.where(F.col("role") == role).select(
             "chunk", "doc_ids", "held", "counts", "vocabulary", "tokens")
-        right = answers.where(F.col("role") == role).select("chunk", "gram", "range", "train", "deleted")
+        right = answers.where((F.col("gram") > 0) & (F.col("role") == role)).select("chunk", "gram", "range", "train", "deleted")
         return left.groupBy("chunk").cogroup(right.groupBy("chunk"))
 
     def sample(left: pa.Table, right: pa.Table) -> pa.Table:
