@@ -92,7 +92,7 @@ def _bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, f], "right") + f * width for f, e in enumerate(edges)], axis=1)
 
 
-def nnpu_fit(p: np.ndarray, u: np.ndarray, prior: float, size: int, epochs: int = 40, batch: int = 2048, rate: float = 0.02,
+def nnpu_fit(p: np.ndarray, u: np.ndarray, prior: float, size: int, epochs: int = 120, batch: int = 2048, rate: float = 0.05,
              decay: float = 1e-4, seed: int = 7) -> np.ndarray:
     """Weights (bias last) by mini-batch Adam on the non-negative risk with the logistic loss; rows hold bin numbers."""
     rng = np.random.default_rng(seed)

@@ -5,9 +5,9 @@ hashed to ``2 ** bits`` coordinates.  Per-coordinate rates and L1 make the
 weights sparse; the non-zero ones (a sorted index array and a value array) are broadcast to score.
 
 Training: a bounded sample of the labelled rows (``max_train_rows``, drawn by a hash of the
-id) is dealt to ``SHARDS`` groups.  In every round each shard runs FTRL over its rows from the common
+id) is dealt to groups of about ``SHARD_ROWS``, so there are at most ``max_train_rows / SHARD_ROWS``.  In every round each shard runs FTRL over its rows from the common
 state and returns what it changed; a coordinate's new state is the old one plus the mean change over the shards
-that touched it.  A shard includes a coordinate only once ``min_rows`` of its rows have it.
+that touched it.  A shard includes a coordinate only if two of its rows and a share of ``min_share`` of them have it.
 
 Rows: a null or empty text has the bias as its only feature.  Labels that are null, or of a null id, are not learned from;
 if an id has several labels, the largest counts.  Without labelled rows of both
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from revlens.llm.common import materialize
 from revlens.llm.textops import ALNUM, mix, text_chunks, words
 
-SHARDS = 8
+SHARD_ROWS = 5000
 _U = np.uint64
 _PAIR, _SKIP = _U(0xA24BAED4963EE407), _U(0x9FB21C651E98DF25)
 
@@ -55,7 +55,7 @@ def sample_labels(labels: DataFrame, id_col: str, label_col: str, train: Column,
     return rows
 
 
-def _training_rows(docs: DataFrame, sample: DataFrame, bits: int) -> DataFrame:
+def _training_rows(docs: DataFrame, sample: DataFrame, bits: int, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in text_chunks(batch.column("text")):
@@ -70,7 +70,7 @@ def _training_rows(docs: DataFrame, sample: DataFrame, bits: int) -> DataFrame:
 
     rows = docs.join(F.broadcast(sample), "id")  # the sample is bounded by max_train_rows
     pick = F.xxhash64("id", F.lit(1))
-    rows = rows.select(F.pmod(pick, F.lit(SHARDS)).cast("int").alias("shard"), pick.alias("pick"), "y", "text")
+    rows = rows.select(F.pmod(pick, F.lit(shards)).cast("int").alias("shard"), pick.alias("pick"), "y", "text")
     return rows.mapInArrow(run, "shard int, pick long, y int, at binary")
 
 
@@ -96,40 +96,51 @@ class Ftrl:
         self.n[at] += g * g
 
 
-def fit(spark: SparkSession, rows: DataFrame, bits: int, rounds: int, min_rows: int, alpha: float, beta: float, l1: float, l2: float):
+def fit(spark: SparkSession, rows: DataFrame, bits: int, rounds: int, min_share: float, alpha: float, beta: float, l1: float, l2: float):
     """Non-zero weights: (ascending coordinates, values, bias)."""
-    model = Ftrl(1 << bits, alpha, beta, l1, l2)
     bias = 1 << bits
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        """A shard as one row: the included coordinates of its texts, in a fixed order."""
+        pdf = pdf.sort_values(["pick", "y"], kind="stable")
+        own = [np.frombuffer(b, np.int32) for b in pdf["at"]]
+        seen = np.zeros(bias, np.int32)
+        for at in own:
+            seen[at] += 1
+        use = seen >= max(2, min_share * len(own))
+        own = [at[use[at]] for at in own]
+        return pd.DataFrame({"at": [np.concatenate(own).tobytes()], "size": [np.array([len(x) for x in own], np.int32).tobytes()],
+                             "y": [pdf["y"].to_numpy(np.int32).tobytes()]})
+
+    shards = materialize(spark, rows.groupBy("shard").applyInPandas(gather, "at binary, size binary, y binary"), "tox-shards")
+    model = Ftrl(bias, alpha, beta, l1, l2)
     for _ in range(rounds):
         known = np.flatnonzero(model.n).astype(np.int32)
         state = spark.sparkContext.broadcast((known, model.z[known], model.n[known]))
 
-        def train(pdf: pd.DataFrame) -> pd.DataFrame:
-            own, (known, z, n) = Ftrl(1 << bits, alpha, beta, l1, l2), state.value
-            own.z[known], own.n[known] = z, n
-            z0, n0 = own.z.copy(), own.n.copy()
-            pdf = pdf.sort_values(["pick", "y"], kind="stable")
-            rows = [np.frombuffer(b, np.int32) for b in pdf["at"]]
-            seen = np.zeros(bias + 1, np.int32)
-            for at in rows:
-                seen[at] += 1
-            use = (seen >= min_rows) | (own.n > 0)
-            use[bias] = True
-            for at, y in zip(rows, pdf["y"]):
-                own.learn(np.append(at[use[at]], bias), y)
-            new = np.flatnonzero(own.n != n0).astype(np.int32)
-            return pd.DataFrame({"at": [new.tobytes()], "z": [(own.z - z0)[new].tobytes()], "n": [(own.n - n0)[new].tobytes()]})
-
-        dz, dn, hits = (np.zeros(bias + 1) for _ in range(3))
-        # SHARDS rows of touched coordinates
-        for r in rows.groupBy("shard").applyInPandas(train, "at binary, z binary, n binary").collect():
+        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for r in batch.to_pylist():
+                    own, (known, z, n) = Ftrl(bias, alpha, beta, l1, l2), state.value
+                    own.z[known], own.n[known] = z, n
+                    z0, n0 = own.z.copy(), own.n.copy()
+                    ends = np.cumsum(np.frombuffer(r["size"], np.int32))
+                    for at, y in zip(np.split(np.frombuffer(r["at"], np.int32), ends[:-1]), np.frombuffer(r["y"], np.int32).tolist()):
+                        own.learn(np.append(at, bias), y)
+                    new = np.flatnonzero(own.n != n0).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x.tobytes()], pa.binary()) for x in (new, (own.z - z0)[new], (own.n - n0)[new])], names=["at", "z", "n"])
+
+        dz, dn, hits = (np.zeros(bias + 1, np.float32) for _ in range(3))
+        # one row a shard: the coordinates it touched
+        for r in shards.mapInArrow(train, "at binary, z binary, n binary").collect():
             at = np.frombuffer(r["at"], np.int32)
             dz[at] += np.frombuffer(r["z"], np.float32)
             dn[at] += np.frombuffer(r["n"], np.float32)
             hits[at] += 1
         hits = np.maximum(hits, 1)
-        model.z += (dz / hits).astype(np.float32)
-        model.n += (dn / hits).astype(np.float32)
+        model.z += dz / hits
+        model.n += dn / hits
     at = np.flatnonzero(model.n)
     at = at[model.weights(at) != 0]
     at = at[at != bias]
@@ -137,16 +148,17 @@ def fit(spark: SparkSession, rows: DataFrame, bits: int, rounds: int, min_rows:
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "toxic",
-                   id_col: str = "doc_id", text_col: str = "text", bits: int = 22, rounds: int = 3, min_rows: int = 3,
-                   alpha: float = 0.1, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0, max_train_rows: int = 40_000) -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", bits: int = 22, rounds: int = 6, min_share: float = 0.001,
+                   alpha: float = 1.0, beta: float = 1.0, l1: float = 3.0, l2: float = 1.0, max_train_rows: int = 40_000) -> DataFrame:
     """One row per row of ``docs``: id, score (0 to 1).  ``train`` is a condition on the id column of ``labels``."""
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = materialize(spark, sample_labels(labels, id_col, label_col, train, max_train_rows), "tox-labels")
     seen = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     if set(seen) >= {0, 1}:
-        rows = materialize(spark, _training_rows(src, sample, bits), "tox-rows")
-        model = fit(spark, rows, bits, rounds, min_rows, alpha, beta, l1, l2)
+        shards = -(-sum(seen.values()) // SHARD_ROWS)
+        rows = _training_rows(src, sample, bits, shards)
+        model = fit(spark, rows, bits, rounds, min_share, alpha, beta, l1, l2)
     else:
         share = (seen.get(1, 0) + 0.5) / (sum(seen.values()) + 1)
         model = np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share)))
