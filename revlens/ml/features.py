@@ -45,7 +45,7 @@ def vocab_sizes(model: PipelineModel) -> tuple[int, int]:
     return len(cvs[0].vocabulary), len(cvs[1].vocabulary)
 
 
-def feature_checks(model: PipelineModel, transformed: DataFrame, min_dim: int = 1, max_dim: int = 25000) -> DataFrame:
+def feature_checks(model: PipelineModel, transformed: DataFrame, min_dim: int = 15000, max_dim: int = 25000) -> DataFrame:
     """ML16: one row per check (check, value, ok), computed on the executors.
 
     dimension within bounds, vocabulary sizes, no HTML/URL artifacts among the

@@ -91,13 +91,13 @@ def q_nb(spark, sf_dir):
 @register("rf_predictions", None, ("ML11",))
 def q_rf(spark, sf_dir):
     _, train, _, test = splits(spark, sf_dir)
-    return MO.predictions(MO.random_forest(20, 8).fit(train), test)
+    return MO.predictions(MO.random_forest(50, 10).fit(train), test)
 
 
 @register("model_comparison", None, ("ML12",))
 def q_compare(spark, sf_dir):
     _, train, val, _ = splits(spark, sf_dir)
-    return MO.compare_models(train, val, rf_trees=20, rf_depth=8)
+    return MO.compare_models(train, val, rf_trees=50, rf_depth=10)
 
 
 @register("tuning_results", None, ("ML13", "TK10"))

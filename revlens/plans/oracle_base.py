@@ -126,6 +126,13 @@ review_text AS (
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id
   """ + NO_CAP + ")"
 
+DOCUMENT_TEXT = """
+document_text AS (
+  SELECT CAST(d.doc_id AS INTEGER) AS Id, d.source AS ProductId, CAST(NULL AS VARCHAR) AS Summary, d.text AS Text,
+         CAST(CASE WHEN l.toxic = 1 THEN 0 WHEN l.quality = 0 THEN 1 WHEN l.doc_id IS NOT NULL THEN 2 END AS INTEGER) AS label
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+  """ + NO_CAP + ")"
+
 DIRTY_TEXT = """
 dirty_text AS (
   SELECT CAST(page_id AS INTEGER) AS Id, url AS Summary, html AS Text FROM pages)"""
@@ -143,7 +150,7 @@ events_feed AS (
 
 def with_fixtures(body: str, *views: str) -> str:
     """Prefix ``body`` with the CTEs it needs (``views`` in dependency order)."""
-    parts = {"reviews": REVIEWS, "review_text": REVIEW_TEXT, "dirty_text": DIRTY_TEXT, "events_feed": EVENTS_FEED}
+    parts = {"reviews": REVIEWS, "review_text": REVIEW_TEXT, "document_text": DOCUMENT_TEXT, "dirty_text": DIRTY_TEXT, "events_feed": EVENTS_FEED}
     ctes = [parts[v].strip() for v in views]
     extra = ""
     if ctes:

@@ -8,11 +8,10 @@ from revlens.functions import labels as L
 from revlens.functions.text import text_preview
 from revlens.operators import prep as PR
 from revlens.operators.metrics import kpis_json
-from revlens.operators.topk import top_k
 from revlens.plans.oracle_base import bucket_of, clean, full_text, label_of, name_of, rhu, split_of, with_fixtures
 from revlens.plans.registry import register
 from revlens.sources.files import table
-from revlens.sources.fixtures import dirty_text, review_text, reviews
+from revlens.sources.fixtures import dirty_text, document_text, review_text, reviews
 from revlens.sources.schemas import SCORED_COLUMNS
 
 
@@ -23,14 +22,10 @@ def q_scan_reviews(spark, sf_dir):
 
 @register("extract_training_rows", with_fixtures(
     """
-SELECT Id, Score, Summary, Text FROM reviews WHERE Score IS NOT NULL
-ORDER BY processed_at DESC, Id DESC LIMIT 50000""", "reviews"), ("SC04", "FL11", "PJ05"))
+SELECT Id, Score, Summary, Text FROM reviews WHERE Score IS NOT NULL""", "reviews"), ("SC04", "FL11", "PJ05"))
 def q_extract(spark, sf_dir):
-    """The newest 50,000 rated reviews (the retraining extract's cap)."""
-    r = reviews(spark, sf_dir).where(F.col("Score").isNotNull())
-    return top_k(r.select("Id", "Score", "Summary", "Text", "processed_at"), [F.desc("processed_at"), F.desc("Id")], 50000).drop(
-        "processed_at"
-    )
+    """All rated reviews: the retraining extract without a cap."""
+    return reviews(spark, sf_dir).where(F.col("Score").isNotNull()).select("Id", "Score", "Summary", "Text")
 
 
 @register("product_lookup", with_fixtures(
@@ -96,9 +91,9 @@ def q_confidence_band(spark, sf_dir):
 @register("text_preview", with_fixtures(
     "SELECT Id, " + ", ".join(
         f"CASE WHEN length(Text) > {n} THEN substr(Text, 1, {n}) || '...' ELSE Text END AS preview_{n}" for n in (200, 110, 70, 10)
-    ) + " FROM review_text", "review_text"), ("PJ15",))
+    ) + " FROM document_text", "document_text"), ("PJ15",))
 def q_text_preview(spark, sf_dir):
-    r = review_text(spark, sf_dir)
+    r = document_text(spark, sf_dir)
     return r.select("Id", *[text_preview("Text", n).alias(f"preview_{n}") for n in (200, 110, 70, 10)])
 
 
@@ -128,10 +123,10 @@ def q_clean_text(spark, sf_dir):
 
 @register("clean_min_length", with_fixtures(
     f"""
-SELECT Id, label, cleaned_text FROM (SELECT Id, label, {clean(full_text())} AS cleaned_text FROM review_text)
-WHERE length(cleaned_text) > 10""", "review_text"), ("FL03", "UD05"))
+SELECT Id, label, cleaned_text FROM (SELECT Id, label, {clean(full_text())} AS cleaned_text FROM document_text)
+WHERE length(cleaned_text) > 10""", "document_text"), ("FL03", "UD05"))
 def q_clean_min_length(spark, sf_dir):
-    r = PR.with_cleaned_text(review_text(spark, sf_dir))
+    r = PR.with_cleaned_text(document_text(spark, sf_dir, labels=True))
     return PR.min_length(r).select("Id", "label", "cleaned_text")
 
 

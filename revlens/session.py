@@ -8,6 +8,7 @@ settings that are *unset* get a default.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,10 +42,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; a private folder is
-    only created when it is unset (local tests).
+    only created when it is unset and the master is local (tests).
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="revlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -115,6 +115,18 @@ def review_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_text(spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
+    """Text of every document for the word queries; ``labels`` adds the label (null where a document has none)."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("int").alias("Id"), F.col("source").alias("ProductId"), F.lit(None).cast("string").alias("Summary"),
+        F.col("text").alias("Text"))
+    if not labels:
+        return docs
+    lab = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+    known = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("int").alias("Id"), lab.cast("int").alias("label"))
+    return docs.join(known, "Id", "left")
+
+
 def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw web pages: the only driver table with tags and URLs."""
     return table(spark, sf_dir, "pages").select(
