@@ -9,15 +9,20 @@ O(vocabulary), never O(rows).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer, StopWordsRemover, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.constants import MLLIB_ENGLISH_STOP_WORDS
 
 
+# --- fixed values: text that betrays mark-up or addresses inside a term.
+ARTIFACTS = ("href", "http", "www", "quot", "nbsp")
+
+
 def feature_pipeline(vocab_size: int = 10000, min_df: float = 5, min_doc_freq: int = 5) -> Pipeline:
     stages = [
         # whitespace tokens of the (already lower-cased, trimmed) cleaned text;
@@ -45,20 +50,38 @@ def vocab_sizes(model: PipelineModel) -> tuple[int, int]:
     return len(cvs[0].vocabulary), len(cvs[1].vocabulary)
 
 
+def _among(kept, t):
+    return t.isin(*kept)
+
+
+def with_counts(model: PipelineModel, transformed: DataFrame) -> DataFrame:
+    """FN19/UD04: ``dimension`` and ``non_zeros`` of a row's features, without making vectors dense.
+
+    A term counts if the vocabulary holds it and its IDF is not 0.  The vocabularies (bounded by
+    ``vocab_size``) go into the plan as hash sets of literals."""
+    cvs = [s for s in model.stages if hasattr(s, "vocabulary")]
+    idfs = [s for s in model.stages if hasattr(s, "idf")]
+    count = F.lit(0)
+    for cv, idf, col in zip(cvs, idfs, ("words_filtered", "bigrams"), strict=True):
+        kept = [t for t, w in zip(cv.vocabulary, idf.idf.toArray(), strict=True) if w != 0]
+        if kept:
+            count = count + F.size(F.filter(F.array_distinct(col), partial(_among, kept)))
+    return transformed.withColumn("dimension", F.lit(sum(vocab_sizes(model)))).withColumn("non_zeros", count.cast("int"))
+
+
 def feature_checks(model: PipelineModel, transformed: DataFrame, min_dim: int = 15000, max_dim: int = 25000) -> DataFrame:
     """ML16: one row per check (check, value, ok), computed on the executors.
 
     dimension within bounds, vocabulary sizes, no HTML/URL artifacts among the
     most frequent terms, labels are exactly {0,1,2}, and no empty feature
-    vectors (counted with built-in array functions, not a Python UDF)."""
+    vectors (``transformed`` comes from ``with_counts``)."""
     uni, bi = vocab_sizes(model)
     dim = uni + bi
     cv_uni = [s for s in model.stages if hasattr(s, "vocabulary")][0]
     top = cv_uni.vocabulary[:200]  # bounded by construction
-    artifacts = sum(1 for t in top if t in ("br", "href", "http", "www", "com", "quot", "nbsp"))
-    nnz = F.size(F.filter(vector_to_array("features"), lambda x: x != 0))
+    artifacts = sum(1 for t in top if any(a in t for a in ARTIFACTS))
     agg = transformed.agg(
-        F.count_if(nnz == 0).alias("empty_vectors"),
+        F.count_if(F.col("non_zeros") == 0).alias("empty_vectors"),
         F.count_distinct("label_idx").alias("n_labels"),
         F.min("label_idx").alias("min_label"),
         F.max("label_idx").alias("max_label"),

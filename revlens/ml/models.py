@@ -86,10 +86,10 @@ def tune(train: DataFrame, val: DataFrame, grid=PARAM_GRID) -> DataFrame:
     return out
 
 
-def best_params(tuning: DataFrame) -> tuple[int, float]:
-    """TK10: arg-max of validation F1 (ties: fewer iterations, then larger reg)."""
+def best_params(tuning: DataFrame) -> tuple[tuple[int, float], float]:
+    """TK10: arg-max of validation F1 (ties: fewer iterations, then larger reg), and that F1."""
     r = tuning.orderBy(F.desc("f1_weighted"), F.asc("max_iter"), F.desc("reg_param")).limit(1).collect()[0]
-    return int(r["max_iter"]), float(r["reg_param"])
+    return (int(r["max_iter"]), float(r["reg_param"])), float(r["f1_weighted"])
 
 
 def loss_history(model) -> DataFrame:

@@ -90,11 +90,12 @@ def per_class_prf(df: DataFrame, label: str = "label", prediction: str = "predic
     )
 
 
-def eval_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", k: int = K) -> DataFrame:
+def eval_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", k: int = K, per_class: dict | None = None) -> DataFrame:
     """ML15: accuracy, weighted and macro F1, weighted precision / recall.
 
     ``f1_weighted`` is what MLlib's evaluator calls "f1"; ``f1_macro`` is the
-    plain mean of per-class F1 -- both are reported, under their own names."""
+    plain mean of per-class F1 -- both are reported, under their own names.
+    ``per_class`` adds columns from the same row: name -> (class, metric)."""
     row = confusion_row(df, label, prediction, k)
     E = [_class_exprs(i, k) for i in range(k)]
 
@@ -108,5 +109,6 @@ def eval_metrics(df: DataFrame, label: str = "label", prediction: str = "predict
         "(" + " + ".join(f"({E[i]['f1']})" for i in range(k)) + f") / {k}.0 AS f1_macro",
         weighted("precision") + " AS precision_weighted",
         weighted("recall") + " AS recall_weighted",
+        *(f"{E[i][m]} AS {name}" for name, (i, m) in (per_class or {}).items()),
     ]
     return row.selectExpr(*exprs)

@@ -309,19 +309,21 @@ def helpfulness(scored: DataFrame) -> DataFrame:
 
 
 def session_stats(scored: DataFrame) -> DataFrame:
-    """AG31: running counters of a live session (batch form)."""
+    """AG31: running counters of a live session (batch form).
+
+    Confidences are summed as exact decimals of eight places and the mean is rounded once."""
     a = scored.agg(
         F.count(F.lit(1)).alias("count"),
         F.count_if(_ps() == "positive").alias("_p"),
         F.count_if(_ps() == "negative").alias("_n"),
-        F.sum(F.round(F.col("confidence") * 100).cast("long")).alias("_conf"),
+        F.sum(F.col("confidence").cast("decimal(9,8)")).alias("_conf"),
     )
     return a.select(
         "count",
         ratio_half_up("_p", "count", 100, 0).alias("positive_pct"),
         ratio_half_up("_n", "count", 100, 0).alias("negative_pct"),
         F.greatest(F.lit(0.0), 100 - ratio_half_up("_p", "count", 100, 0) - ratio_half_up("_n", "count", 100, 0)).alias("neutral_pct"),
-        ratio_half_up("_conf", "count", 1, 1).alias("avg_confidence_pct"),
+        F.round((F.col("_conf") * 100).cast("double") / F.col("count"), 1).alias("avg_confidence_pct"),
     )
 
 

@@ -100,16 +100,17 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str = "label", max_classes: int = 1000) -> DataFrame:
-    """PJ10: attach the balanced class weight to every row.
-
-    The weight table has one row per class; the broadcast is guarded by an
-    explicit bound on the class count (a label column with unbounded
-    cardinality is not a class label)."""
-    cw = class_weights(df, label).select(F.col("label").alias(label), "class_weight")
-    n_classes = cw.count()
-    if n_classes > max_classes:
-        raise ValueError(f"{n_classes} classes exceed the broadcast bound {max_classes}")
-    return df.join(F.broadcast(cw), label)
+    """PJ10: attach the balanced class weight to every row, as a CASE over the classes.
+
+    The weights (one row per class) are read once; more than ``max_classes`` is an error, since a
+    label column of unbounded cardinality holds no class labels.  Rows without a label drop out."""
+    weights = class_weights(df, label).limit(max_classes + 1).collect()  # at most max_classes + 1 rows
+    if len(weights) > max_classes:
+        raise ValueError(f"more than {max_classes} classes in {label}")
+    case = F.lit(None).cast("double")
+    for w in weights:
+        case = F.when(F.col(label) == w["label"], F.lit(w["class_weight"])).otherwise(case) if w["label"] is not None else case
+    return df.where(F.col(label).isNotNull()).withColumn("class_weight", case)
 
 
 def union_splits(*parts: DataFrame) -> DataFrame:

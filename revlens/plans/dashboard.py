@@ -257,11 +257,11 @@ WITH a AS (
   SELECT count(*) AS cnt,
          count(*) FILTER (WHERE predicted_sentiment = 'positive') AS p,
          count(*) FILTER (WHERE predicted_sentiment = 'negative') AS n,
-         sum(CAST(round(confidence * 100) AS BIGINT)) AS conf
+         sum(CAST(confidence AS DECIMAL(9,8))) AS conf
   FROM reviews)
 SELECT cnt AS count, {rhu('p', 'cnt', 100, 0)} AS positive_pct, {rhu('n', 'cnt', 100, 0)} AS negative_pct,
        greatest(0.0, 100 - {rhu('p', 'cnt', 100, 0)} - {rhu('n', 'cnt', 100, 0)}) AS neutral_pct,
-       {rhu('conf', 'cnt', 1, 1)} AS avg_confidence_pct
+       round(CAST(conf * 100 AS DOUBLE) / cnt, 1) AS avg_confidence_pct
 FROM a""", "reviews"), ("AG31", "ST09"))
 def q_session_stats(spark, sf_dir):
     return M.session_stats(reviews(spark, sf_dir))

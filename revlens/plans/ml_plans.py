@@ -1,30 +1,45 @@
 """Featurisation, model and lifecycle queries (rows-only checks).
 
-The featurised splits are written once per application as a Parquet table
-partitioned by ``split`` under ``spark.checkpoint.dir`` and read back: model
-fits and evaluations then start from files, not from the cleaning lineage.
+The featurised splits are written as a Parquet table partitioned by ``split``
+under ``spark.checkpoint.dir`` and read back: model fits and evaluations then
+start from files, not from the cleaning lineage.  They are kept, like the fitted
+models, for as long as the source files stay what they were.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from revlens.functions.labels import score_label, sentiment_index
 from revlens.ml import features as FE
 from revlens.ml import lifecycle as LC
 from revlens.ml import models as MO
 from revlens.operators import prep as PR
+from revlens.plans.oracle_base import MLLIB_STOP_SQL, clean, full_text, index_of, label_of, split_of, with_fixtures
 from revlens.plans.registry import register
 from revlens.session import scratch_path
+from revlens.sources.files import source_version
 from revlens.sources.fixtures import review_text, reviews
+from revlens.sources.schemas import MODEL_RUNS
 
-_CACHE: dict = {}
+_FITTED: dict = {}
 _LOCK = threading.RLock()
 
 
+def _once(spark, sf_dir, name, fit):
+    """A fitted object, kept for the application and the present files of its two source tables."""
+    with _LOCK:
+        key = (name, sf_dir, spark.sparkContext.applicationId, source_version(spark, sf_dir, "documents", "labels"))
+        if key not in _FITTED:
+            for old in [k for k in _FITTED if k[:3] == key[:3]]:
+                del _FITTED[old]
+            _FITTED[key] = fit()
+        return _FITTED[key]
+
+
 def prepared(spark, sf_dir):
     """Cleaned, length-filtered, labelled, split review_text."""
     r = PR.min_length(PR.with_cleaned_text(review_text(spark, sf_dir)))
@@ -33,16 +48,16 @@ def prepared(spark, sf_dir):
 
 def featurised(spark, sf_dir):
     """(featuriser model, path of the featurised split table)."""
-    key = (os.path.realpath(sf_dir), spark.sparkContext.applicationId)
-    with _LOCK:
-        if key not in _CACHE:
-            rows = prepared(spark, sf_dir)
-            fz = FE.feature_pipeline().fit(rows.where(F.col("split") == "train"))
-            path = scratch_path(spark, "features")
-            FE.with_label_index(fz.transform(rows)).select("Id", "label", "label_idx", "split", "features").write.partitionBy(
-                "split").parquet(path)
-            _CACHE[key] = (fz, path)
-        return _CACHE[key]
+
+    def fit():
+        rows = prepared(spark, sf_dir)
+        fz = FE.feature_pipeline().fit(rows.where(F.col("split") == "train"))
+        path = scratch_path(spark, "features")
+        FE.with_counts(fz, FE.with_label_index(fz.transform(rows))).select(
+            "Id", "label", "label_idx", "split", "features", "dimension", "non_zeros").write.partitionBy("split").parquet(path)
+        return fz, path
+
+    return _once(spark, sf_dir, "features", fit)
 
 
 def splits(spark, sf_dir):
@@ -53,24 +68,63 @@ def splits(spark, sf_dir):
 
 
 def _lr(spark, sf_dir):
-    key = ("lr", os.path.realpath(sf_dir), spark.sparkContext.applicationId)
-    with _LOCK:
-        if key not in _CACHE:
-            _, train, _, _ = splits(spark, sf_dir)
-            _CACHE[key] = MO.logistic_regression(30, 0.05).fit(train)
-        return _CACHE[key]
+    return _once(spark, sf_dir, "lr", lambda: MO.logistic_regression(30, 0.05).fit(splits(spark, sf_dir)[1]))
+
+
+def _tuned(spark, sf_dir):
+    """((maxIter, regParam), validation F1) of the grid's winner."""
+    return _once(spark, sf_dir, "tuned", lambda: MO.best_params(q_tuning(spark, sf_dir)))
+
+
+def _final(spark, sf_dir):
+    """Refit on train + val with the grid's winner and weights of the union."""
+    def fit():
+        _, train, val, _ = splits(spark, sf_dir)
+        full = PR.with_class_weights(PR.union_splits(train.drop("class_weight"), val), "label")
+        return MO.logistic_regression(*_tuned(spark, sf_dir)[0]).fit(full)
+
+    return _once(spark, sf_dir, "final", fit)
+
+
+_FEATURES_SQL = f"""
+WITH c AS (SELECT Id, label, {clean(full_text())} AS t, {split_of()} AS split FROM review_text),
+r AS (SELECT * FROM c WHERE length(t) > 10),
+tok AS (SELECT Id, split, unnest(string_split(t, ' ')) AS term, unnest(range(len(string_split(t, ' ')))) AS p FROM r),
+uni AS (SELECT Id, split, term, p FROM tok WHERE term <> '' AND NOT list_contains({MLLIB_STOP_SQL}, term)),
+pair AS (SELECT Id, split, term || ' ' || lead(term) OVER (PARTITION BY Id ORDER BY p) AS term FROM uni),
+terms AS (SELECT 'u' AS kind, Id, split, term FROM uni UNION ALL SELECT 'b', Id, split, term FROM pair WHERE term IS NOT NULL),
+df AS (SELECT kind, term, count(DISTINCT Id) AS df, count(*) AS tf FROM terms WHERE split = 'train' GROUP BY kind, term),
+vocab AS (SELECT kind, term, df, tf, row_number() OVER (PARTITION BY kind ORDER BY tf DESC, term) AS place FROM df WHERE df >= 5
+          QUALIFY place <= 10000),
+m AS (SELECT count(*) AS m FROM r WHERE split = 'train'),
+nz AS (SELECT t.Id, count(DISTINCT t.kind || t.term) AS non_zeros
+       FROM terms t JOIN vocab v ON t.kind = v.kind AND t.term = v.term WHERE v.df < (SELECT m FROM m) GROUP BY t.Id),
+feat AS (SELECT r.Id, r.split, CAST(r.label AS DOUBLE) AS label_idx, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS dimension,
+         CAST(coalesce(nz.non_zeros, 0) AS INTEGER) AS non_zeros FROM r LEFT JOIN nz ON r.Id = nz.Id)
+"""
 
 
-@register("tfidf_features", None, ("ML08", "ML06", "ML07", "SK05", "FN19", "UD04"))
+@register("tfidf_features", with_fixtures(_FEATURES_SQL + "SELECT * FROM feat", "review_text"),
+          ("ML08", "ML06", "ML07", "SK05", "FN19", "UD04"))
 def q_tfidf(spark, sf_dir):
+    """Dimension and non-zeros of each feature vector, which stays sparse: an in-vocabulary term is
+    non-zero unless its IDF is 0, so distinct terms with a weight are counted, not vector slots."""
     _, path = featurised(spark, sf_dir)
-    t = spark.read.parquet(path)
-    arr = vector_to_array("features")
-    return t.select("Id", "split", "label_idx", F.size(arr).alias("dimension"),
-                    F.size(F.filter(arr, lambda x: x != 0)).alias("non_zeros"))
+    return spark.read.parquet(path).select("Id", "split", "label_idx", "dimension", "non_zeros")
 
 
-@register("feature_checks", None, ("ML16", "ML23"))
+_BAD = " OR ".join(f"contains(term, '{a}')" for a in FE.ARTIFACTS)
+
+
+@register("feature_checks", with_fixtures(_FEATURES_SQL + f""",
+k AS (SELECT count(*) AS dim, count(*) FILTER (WHERE kind = 'u') AS uni, count(*) FILTER (WHERE kind = 'b') AS bi,
+             count(*) FILTER (WHERE kind = 'u' AND place <= 200 AND ({_BAD})) AS bad FROM vocab),
+l AS (SELECT count(DISTINCT label_idx) AS n, min(label_idx) AS lo, max(label_idx) AS hi, count(*) FILTER (WHERE non_zeros = 0) AS none FROM feat)
+SELECT 'feature_dimension' AS "check", CAST(dim AS DOUBLE) AS value, dim BETWEEN 15000 AND 25000 AS ok FROM k
+UNION ALL SELECT 'unigram_vocabulary', uni, uni > 0 FROM k UNION ALL SELECT 'bigram_vocabulary', bi, bi > 0 FROM k
+UNION ALL SELECT 'artifact_terms_top200', bad, bad = 0 FROM k
+UNION ALL SELECT 'label_classes', n, n = 3 AND lo = 0 AND hi = 2 FROM l UNION ALL SELECT 'empty_vectors', none, none = 0 FROM l""",
+    "review_text"), ("ML16",))
 def q_feature_checks(spark, sf_dir):
     fz, path = featurised(spark, sf_dir)
     return FE.feature_checks(fz, spark.read.parquet(path))
@@ -108,10 +162,18 @@ def q_tuning(spark, sf_dir):
 
 @register("loss_history", None, ("ML14",))
 def q_loss(spark, sf_dir):
-    """Final refit on train + val with weights recomputed on the union."""
-    _, train, val, _ = splits(spark, sf_dir)
-    full = PR.with_class_weights(PR.union_splits(train.drop("class_weight"), val), "label")
-    return MO.loss_history(MO.logistic_regression(60, 0.05).fit(full))
+    """Objective per iteration of the final refit."""
+    return MO.loss_history(_final(spark, sf_dir))
+
+
+@register("final_model_card", None, ("ML14", "TK10"))
+def q_final_model(spark, sf_dir):
+    """One row: the winner's parameters, its validation F1, and the final model's test scores."""
+    _, _, _, test = splits(spark, sf_dir)
+    (it, reg), val_f1 = _tuned(spark, sf_dir)
+    return MO.evaluate(_final(spark, sf_dir), test).select(
+        F.lit(it).alias("max_iter"), F.lit(reg).alias("reg_param"), F.lit(val_f1).alias("val_f1"), F.col("n").alias("n_test"),
+        F.col("accuracy").alias("test_accuracy"), F.col("f1_weighted").alias("test_f1"), F.col("f1_macro").alias("test_f1_macro"))
 
 
 @register("threshold_override", None, ("ML17",))
@@ -128,6 +190,35 @@ def q_scored(spark, sf_dir):
     return MO.score(fz, _lr(spark, sf_dir), r).select("Id", "ProductId", "Score", "predicted_sentiment", "confidence")
 
 
+_CHECKED_SQL = with_fixtures(f"""
+WITH r AS (SELECT Id, label FROM review_text WHERE length({clean(full_text())}) > 10 AND {split_of()} = 'test')
+SELECT m.model, r.Id, r.label, true AS one_of_three, true AS sums_to_one, true AS agrees, true AS in_range
+FROM r, (VALUES ('logistic_regression'), ('naive_bayes'), ('random_forest')) m(model)""", "review_text")
+
+
+@register("prediction_checks", _CHECKED_SQL, ("ML09", "ML10", "ML11", "FN18", "UD02"))
+def q_prediction_checks(spark, sf_dir):
+    """For each classifier and test row: three probabilities that sum to one, the prediction at the
+    largest of them, and the confidence equal to it."""
+    _, train, _, test = splits(spark, sf_dir)
+    fitted = {"logistic_regression": _lr(spark, sf_dir), "naive_bayes": MO.naive_bayes().fit(train),
+              "random_forest": MO.random_forest(50, 10).fit(train)}
+    p = PR.union_splits(*(MO.predictions(m, test).withColumn("model", F.lit(k)) for k, m in fitted.items()))
+    total = F.aggregate("prob", F.lit(0.0), lambda a, x: a + x)
+    return p.select(
+        "model", "Id", "label", ((F.size("prob") == 3) & F.col("prediction").isin(0, 1, 2)).alias("one_of_three"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"), (F.element_at("prob", F.col("prediction") + 1) == F.col("confidence")).alias("agrees"),
+        F.col("confidence").between(1 / 3 - 1e-9, 1 + 1e-9).alias("in_range"))
+
+
+@register("scored_review_checks", with_fixtures("""
+SELECT Id, true AS named, true AS in_range FROM reviews""", "reviews"), ("ML18", "PJ07", "FN18"))
+def q_scored_checks(spark, sf_dir):
+    """Every stored review is scored once, with a named sentiment and a confidence of at least a third."""
+    return q_scored(spark, sf_dir).select("Id", F.col("predicted_sentiment").isin("negative", "neutral", "positive").alias("named"),
+                                          F.col("confidence").between(1 / 3 - 1e-9, 1 + 1e-9).alias("in_range"))
+
+
 @register("retrain_metrics", None, ("ML20", "ML22"))
 def q_retrain(spark, sf_dir):
     fz, _ = featurised(spark, sf_dir)
@@ -136,36 +227,117 @@ def q_retrain(spark, sf_dir):
     return metrics
 
 
+@register("retrain_run", None, ("ML20", "ML21", "ML22", "SK04", "SK06", "SK07"))
+def q_retrain_run(spark, sf_dir):
+    """The nightly job from the stored featuriser to the recorded decision; the ``type = retraining`` row."""
+    fz, _ = featurised(spark, sf_dir)
+    stored = LC.load_pipeline(LC.save_model(fz, scratch_path(spark, "featuriser"), "v1"))
+    rows = prepared(spark, sf_dir).drop("split")
+    runs = spark.createDataFrame([], MODEL_RUNS)
+    _, record = LC.retrain_run(rows, stored, runs, scratch_path(spark, "models"), "nightly")
+    return record
+
+
 @register("overfit_check", None, ("ML23", "FN16"))
 def q_overfit(spark, sf_dir):
-    _, _, val, test = splits(spark, sf_dir)
-    m = _lr(spark, sf_dir)
-    return MO.overfit_check(MO.evaluate(m, val), MO.evaluate(m, test))
+    """The winner's validation F1 against the final model's test F1."""
+    _, _, _, test = splits(spark, sf_dir)
+    _, val_f1 = _tuned(spark, sf_dir)
+    return MO.overfit_check(spark.range(1).select(F.lit(val_f1).alias("f1_weighted")), MO.evaluate(_final(spark, sf_dir), test))
 
 
-@register("model_runs_history", None, ("ML21", "ML22", "SC09", "TK07", "TK08", "TK09", "FL15", "PJ17", "SK06", "SK07", "SC10"))
+@register("model_runs_history", None, ("ML21", "ML22", "SK06", "SK07", "SC10"))
 def q_model_runs(spark, sf_dir):
-    """The lifecycle over the tuning grid: each grid point is a training run;
-    the promotion gate decides against the best promoted run so far; the
-    promoted model is saved under a versioned path and reloaded; the history
-    view shows the newest runs with improvement over the previous one."""
-    from revlens.sources.schemas import MODEL_RUNS
-
-    _, train, val, _ = splits(spark, sf_dir)
-    runs = spark.createDataFrame([], MODEL_RUNS)
-    base = scratch_path(spark, "models")
-    for i, (it, reg) in enumerate(MO.PARAM_GRID):
-        m = MO.logistic_regression(it, reg).fit(train)
-        e = MO.evaluate(m, val).collect()[0]  # one metric row
-        d = LC.promotion_decision(runs, float(e.f1_weighted)).collect()[0]
-        path = LC.save_model(m, base, f"v{i}") if d.promoted else ""
-        rec = LC.run_record(spark, f"run{i:03d}", f"lr_it{it}_reg{reg}", {"maxIter": it, "regParam": reg},
-                            {"f1_weighted": e.f1_weighted, "accuracy": e.accuracy, "f1_macro": e.f1_macro},
-                            {"promoted": bool(d.promoted)}, path)
-        rec = rec.withColumn("start_time", F.lit(f"2024-01-01 00:00:00").cast("timestamp") + F.expr(f"INTERVAL {i} HOURS"))
-        runs = runs.unionByName(rec)
-    runs = runs.checkpoint(eager=True)
-    best = LC.latest_model(runs).collect()[0]
-    if best.model_path:
-        LC.load_classifier(best.model_path)  # the promoted version reloads
+    """The lifecycle over the tuning grid: each grid point is a retraining that is gated, saved and
+    recorded; the current model is loaded again and must be the promoted one."""
+    fz, _ = featurised(spark, sf_dir)
+    rows = prepared(spark, sf_dir).drop("split")
+    runs, base = spark.createDataFrame([], MODEL_RUNS), scratch_path(spark, "models")
+    for it, reg in MO.PARAM_GRID:
+        runs, _ = LC.retrain_run(rows, fz, runs, base, f"lr_it{it}_reg{reg}", it, reg)
+        runs = runs.checkpoint(eager=True)
+    for best in LC.latest_model(runs).collect():  # one row, none below the sample gate
+        if LC.load_classifier(best.model_path).numClasses < 2:
+            raise ValueError(f"{best.model_path} holds no classifier")
     return LC.model_history(runs)
+
+
+# ------------------------------------------- run table derived from the reviews
+def _class(i, n):
+    tp, wrong = f"c{i}{i}", " + ".join([f"c{i}{j}" for j in range(3) if j != i] + [f"c{j}{i}" for j in range(3) if j != i])
+    return (f"CASE WHEN {tp} + {wrong} = 0 THEN 0.0 ELSE CAST(2 * {tp} AS DOUBLE) / (2 * {tp} + {wrong}) END AS f1_{n}",
+            f"CASE WHEN s{i} = 0 THEN 0.0 ELSE CAST({tp} AS DOUBLE) / s{i} END AS recall_{n}")
+
+
+_RUNS_SQL = with_fixtures(f"""
+WITH p AS (SELECT *, {label_of()} AS label, {index_of()} AS pred, strftime(processed_at, '%Y-%m') AS month FROM reviews),
+g AS (SELECT month, count(*) AS n, max(processed_at) AS start_time,
+  {", ".join(f"count(*) FILTER (WHERE label = {i}) AS s{i}" for i in range(3))},
+  {", ".join(f"count(*) FILTER (WHERE label = {i} AND pred = {j}) AS c{i}{j}" for i in range(3) for j in range(3))}
+  FROM p GROUP BY month),
+e AS (SELECT *, {", ".join(x for i, c in enumerate(("negative", "neutral", "positive")) for x in _class(i, c))},
+  CAST(c00 + c11 + c22 AS DOUBLE) / n AS accuracy FROM g),
+w AS (SELECT *, (s0 * f1_negative + s1 * f1_neutral + s2 * f1_positive) / n AS f1 FROM e),
+b AS (SELECT *, max(f1) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM w),
+runs AS (SELECT 'run-' || month AS run_id, start_time, n AS n_samples, f1, accuracy, recall_negative, f1_negative, prev,
+  prev IS NULL OR f1 > prev AS promoted FROM b)
+""", "reviews")
+
+
+def model_runs_view(spark, sf_dir):
+    """A run table from the stored reviews: each month's predictions are one run, scored from its
+    confusion counts, promoted where its F1 beats every earlier one.  One row a month."""
+    r = reviews(spark, sf_dir).select("processed_at", score_label("Score").alias("label"), sentiment_index("predicted_sentiment").alias("pred"))
+    cells = {f"c{i}{j}": F.count_if((F.col("label") == i) & (F.col("pred") == j)) for i in range(3) for j in range(3)}
+    g = r.groupBy(F.date_format("processed_at", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("processed_at").alias("start_time"),
+        *(F.count_if(F.col("label") == i).alias(f"s{i}") for i in range(3)), *(c.alias(k) for k, c in cells.items()))
+    div = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
+    c = F.col
+    f1, recall = [], []
+    for i in range(3):
+        said = sum((c(f"c{j}{i}") for j in range(3)), F.lit(0))
+        had = sum((c(f"c{i}{j}") for j in range(3)), F.lit(0))
+        f1.append(div(2 * c(f"c{i}{i}"), said + had))
+        recall.append(div(c(f"c{i}{i}"), c(f"s{i}")))
+    score = sum((c(f"s{i}") * f1[i] for i in range(1, 3)), c("s0") * f1[0]) / c("n")
+    e = g.select("*", score.alias("f1"), f1[0].alias("f1_negative"), recall[0].alias("recall_negative"),
+                 ((c("c00") + c("c11") + c("c22")).cast("double") / c("n")).alias("accuracy"))
+    before = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("prev", F.max("f1").over(before))
+    promoted = c("prev").isNull() | (c("f1") > c("prev"))
+    return e.select(
+        F.concat(F.lit("run-"), "month").alias("run_id"), F.lit("monthly").alias("run_name"), "start_time",
+        F.create_map(F.lit("n_samples"), c("n").cast("string")).alias("params"),
+        F.create_map(*(x for k, v in (("f1_weighted", c("f1")), ("accuracy", c("accuracy")), ("recall_negative", c("recall_negative")),
+                                      ("f1_negative", c("f1_negative")), ("previous_f1", F.coalesce("prev", F.lit(0.0))))
+                       for x in (F.lit(k), v))).alias("metrics"),
+        F.create_map(F.lit("promoted"), F.when(promoted, "True").otherwise("False")).alias("tags"),
+        F.lit("models/final").alias("model_path"))
+
+
+@register("model_history", _RUNS_SQL + """
+SELECT run_id, 'monthly' AS run_name, start_time, round(f1 * 100, 2) AS f1_weighted_pct, round(accuracy * 100, 2) AS accuracy_pct,
+       round(recall_negative * 100, 2) AS recall_negative_pct, round(f1_negative * 100, 2) AS f1_negative_pct,
+       CASE WHEN prev > 0 THEN round(prev * 100, 2) END AS previous_f1_pct,
+       CASE WHEN prev > 0 THEN round((f1 - prev) / prev * 100, 2) END AS improvement_pct, promoted,
+       CASE WHEN promoted THEN 'PROMOTED' ELSE 'REJECTED' END AS decision, CAST(NULL AS DOUBLE) AS train_time_seconds,
+       'TRAINED' AS status, n_samples
+FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 20""", ("ML22", "TK08", "PJ17"))
+def q_model_history(spark, sf_dir):
+    return LC.model_history(model_runs_view(spark, sf_dir))
+
+
+@register("run_search", _RUNS_SQL + """
+SELECT run_id, start_time, f1 AS f1_weighted FROM runs WHERE promoted ORDER BY f1 DESC, run_id LIMIT 20""", ("SC09", "FL15"))
+def q_run_search(spark, sf_dir):
+    found = LC.run_search(model_runs_view(spark, sf_dir), order_by="f1_weighted")
+    return found.select("run_id", "start_time", F.col("metrics")["f1_weighted"].alias("f1_weighted"))
+
+
+@register("current_model", _RUNS_SQL + """
+SELECT run_id, 'models/final' AS model_path, (SELECT max(f1) FROM runs WHERE promoted) AS best_promoted_f1
+FROM runs ORDER BY promoted DESC, start_time DESC, run_id DESC LIMIT 1""", ("TK07", "TK09"))
+def q_current_model(spark, sf_dir):
+    runs = model_runs_view(spark, sf_dir)
+    return LC.latest_model(runs).select("run_id", "model_path", LC.best_promoted_f1(runs).scalar().alias("best_promoted_f1"))

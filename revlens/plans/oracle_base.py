@@ -1,7 +1,7 @@
 """DuckDB SQL for the fixture views and exact-rounding helpers.
 
-The oracle is written independently of the Spark code: plain SQL over the
-driver tables.  Fixture views are common table expressions so each oracle
+Plain SQL over the driver tables; ``rhu`` states the same rounding rule as
+the Spark code, so it checks the counts, not the rule.  Fixture views are common table expressions so each oracle
 string is self-contained.
 """
 
@@ -113,7 +113,7 @@ reviews AS (
          CASE ((CASE WHEN score <= 2 THEN 0 WHEN score = 3 THEN 1 ELSE 2 END)
                + CASE m WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END) % 3
               WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' ELSE 'positive' END AS predicted_sentiment,
-         CAST((ok * 17 + ck) % 60 + 40 AS DOUBLE) / 100 AS confidence,
+         CAST((ok * 1717 + ck * 31) % 6000 + 4000 AS DOUBLE) / 10000 AS confidence,
          o_orderdate AS processed_at
   FROM _r
   """ + NO_CAP + ")"
@@ -137,20 +137,9 @@ DIRTY_TEXT = """
 dirty_text AS (
   SELECT CAST(page_id AS INTEGER) AS Id, url AS Summary, html AS Text FROM pages)"""
 
-EVENTS_FEED = """
-events_feed AS (
-  SELECT event_id AS Id, ts AS processed_at, user_id AS UserId,
-         'P' || json_extract_string(props, '$.k') AS ProductId,
-         CASE WHEN event_type IN ('purchase', 'signup') THEN 'positive'
-              WHEN event_type = 'view' THEN 'neutral'
-              WHEN event_type IN ('click', 'error') THEN 'negative' END AS predicted_sentiment,
-         value
-  FROM events)"""
-
-
 def with_fixtures(body: str, *views: str) -> str:
     """Prefix ``body`` with the CTEs it needs (``views`` in dependency order)."""
-    parts = {"reviews": REVIEWS, "review_text": REVIEW_TEXT, "document_text": DOCUMENT_TEXT, "dirty_text": DIRTY_TEXT, "events_feed": EVENTS_FEED}
+    parts = {"reviews": REVIEWS, "review_text": REVIEW_TEXT, "document_text": DOCUMENT_TEXT, "dirty_text": DIRTY_TEXT}
     ctes = [parts[v].strip() for v in views]
     extra = ""
     if ctes:

@@ -79,7 +79,7 @@ def q_score_try_cast(spark, sf_dir):
 SELECT Id, confidence,
        CASE WHEN confidence >= 0.7 THEN 'high' WHEN confidence >= 0.5 THEN 'medium' ELSE 'low' END AS band_live,
        CASE WHEN confidence > 0.8 THEN 'high' WHEN confidence > 0.65 THEN 'medium' ELSE 'low' END AS band_product
-FROM reviews""", "reviews"), ("PJ14", "FN18"))
+FROM reviews""", "reviews"), ("PJ14",))
 def q_confidence_band(spark, sf_dir):
     r = reviews(spark, sf_dir)
     return r.select(

@@ -7,47 +7,28 @@ The same definitions are written as DuckDB SQL in ``revlens.plans.oracle``.
 
 from __future__ import annotations
 
-import os
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.labels import label_name, score_label
-from revlens.functions.text import clean_text, full_text
-from revlens.session import scratch_path
 from revlens.sources.files import table
 
-_STORED: dict[tuple, str] = {}
-_LOCK = threading.RLock()
 
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored-review table: a lazy view, so each query reads its own columns and always the present files."""
+    return reviews_view(spark, sf_dir)
 
-def stored(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
-    """Materialise a derived view once per application as Parquet under the
-    shared ``spark.checkpoint.dir`` and read it back.
 
-    This is the stored review table a deployment keeps (reviews are written
-    once by the scoring job and read by every report).  Writing it cuts the
-    lineage, so a lost executor re-reads files instead of recomputing the
-    four-way join.  Rows are hash-distributed by ``Id``: no key can skew the
-    files, and AQE sizes the partitions from the real shuffle volume.
-    Set ``revlens.fixtures.materialize=false`` to run on the lazy view.
-    """
-    if spark.conf.get("revlens.fixtures.materialize", "true").lower() != "true":
-        return build(spark, sf_dir)
-    key = (name, os.path.realpath(sf_dir), spark.sparkContext.applicationId)
-    with _LOCK:
-        path = _STORED.get(key)
-        if path is None:
-            path = scratch_path(spark, "fixtures", name)
-            build(spark, sf_dir).repartition("Id").write.mode("overwrite").parquet(path)
-            _STORED[key] = path
-    return spark.read.parquet(path)
+def build_review_table(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Write the scored reviews to ``path`` for keyed reads, and read them back.
 
-
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored-review table (stored form of ``reviews_view``)."""
-    return stored(spark, "reviews", sf_dir, reviews_view)
+    An explicit job of the caller, who owns ``path`` and decides when to renew it.  Rows are
+    range-partitioned and sorted by product, time and Id, so a product's rows lie in few files and
+    row groups (min/max statistics prune the rest), and a product with many rows spreads over several."""
+    r = reviews_view(spark, sf_dir)
+    keys = ["ProductId", "processed_at", "Id"]
+    r.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +77,7 @@ def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok % 13 != 0, F.substring(F.col("text"), 1, 40)).alias("Summary"),
         F.col("text").alias("Text"),
         label_name((score_label(score) + shift) % 3).alias("predicted_sentiment"),
-        (((ok * 17 + ck) % 60 + 40).cast("double") / 100).alias("confidence"),
+        (((ok * 1717 + ck * 31) % 6000 + 4000).cast("double") / 10000).alias("confidence"),
         F.col("o_orderdate").alias("processed_at"),
     )
 
@@ -132,26 +113,3 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").cast("int").alias("Id"), F.col("url").alias("Summary"), F.col("html").alias("Text")
     )
-
-
-def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    k = F.get_json_object(F.col("props"), "$.k")
-    sent = (
-        F.when(F.col("event_type").isin("purchase", "signup"), "positive")
-        .when(F.col("event_type") == "view", "neutral")
-        .when(F.col("event_type").isin("click", "error"), "negative")
-    )
-    return ev.select(
-        F.col("event_id").alias("Id"),
-        F.col("ts").alias("processed_at"),
-        F.col("user_id").alias("UserId"),
-        F.concat(F.lit("P"), k).alias("ProductId"),
-        sent.alias("predicted_sentiment"),
-        F.col("value"),
-    )
-
-
-def cleaned(df: DataFrame) -> DataFrame:
-    """Adds ``cleaned_text`` from Summary + Text."""
-    return df.withColumn("cleaned_text", clean_text(full_text("Summary", "Text")))

@@ -49,7 +49,39 @@ def test_no_python_udf_in_relational_plans(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, k
 
 
-def test_product_lookup_pushes_filter(spark):
-    df = E.queries()["product_lookup"](spark, SF_SMALL)
+def test_keyed_read_of_the_review_table_pushes_its_filter(spark):
+    from revlens.session import scratch_path
+    from revlens.sources.fixtures import build_review_table
+
+    table = build_review_table(spark, SF_SMALL, scratch_path(spark, "review-table"))
+    df = table.where("ProductId = 'P0007'").select("Id", "ProductId", "Score")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ProductId), EqualTo(ProductId,P0007)]" in plan
+    assert {r.Id for r in df.collect()} == {r.Id for r in E.queries()["product_lookup"](spark, SF_SMALL).collect()}
+
+
+def test_changed_inputs_are_seen(spark, tmp_path):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from revlens.sources.files import source_version
+
+    for t in ("orders", "lineitem", "customer", "documents"):
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    d = str(tmp_path)
+    before, version = E.queries()["kpis"](spark, d).collect()[0].total, source_version(spark, d, "orders")
+    rows = pq.read_table(f"{d}/orders.parquet")
+    pq.write_table(rows.slice(0, rows.num_rows // 2), f"{d}/orders.parquet")
+    spark.catalog.refreshByPath(f"{d}/orders.parquet")
+    assert E.queries()["kpis"](spark, d).collect()[0].total < before
+    assert source_version(spark, d, "orders") != version
+
+
+def test_vocabulary_moves_terms_once_and_counts_repeats(spark):
+    from revlens.operators.words import vocabulary
+
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["a"]), (3, []), (4, None)], "Id int, w array<string>")
+    v = vocabulary(df, "w", min_df=1)
+    assert v._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {(r.term, r.term_freq, r.doc_freq) for r in v.collect()} == {("a", 3, 2), ("b", 1, 1)}
