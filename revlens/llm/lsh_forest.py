@@ -116,7 +116,10 @@ def _forest(classes: DataFrame, kind: str) -> DataFrame:
 
 
 def _neighbours(rows: DataFrame, kind: str, least: int, border: bool) -> DataFrame:
-    """Candidates among sorted rows, each with the rows just before it in its partition; with ``border`` also the rows at both ends."""
+    """Candidates among sorted rows, each with the rows just before it in its partition; with ``border`` also the rows at both ends.
+
+    A candidate whose two rows a chain of adjacent candidates joins already is left out: only what
+    the candidates connect is used, and that stays the same."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
@@ -137,15 +140,21 @@ def _neighbours(rows: DataFrame, kind: str, least: int, border: bool) -> DataFra
             key = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(n, _KEY)
             lead, sketch = np.ascontiguousarray(key[:, :4 * DEPTH]).view(np.uint32), key[:, 4 * DEPTH:]
             tree, ids = table.column("tree").to_numpy(), table.column("id").combine_chunks()
+            chain = np.zeros(n, np.int64)  # rows that links to the row just before them hold together have one number
             for lag in range(1, NEIGHBOURS + 1):
-                at = np.arange(max(old, lag), n)
-                if not len(at):
-                    continue
+                at = np.arange(lag, n)
                 ok = (tree[at] == tree[at - lag]) & (lead[at, :MIN_DEPTH] == lead[at - lag, :MIN_DEPTH]).all(axis=1)
                 at = at[ok]
                 x = sketch[at] ^ sketch[at - lag]
                 differ = np.bitwise_count((x | x >> 1) & 0x55).sum(axis=1)
                 at = at[SIGNATURE - differ >= least]
+                if lag == 1:
+                    begins = np.ones(n, bool)
+                    begins[at] = False
+                    chain = np.cumsum(begins)
+                else:
+                    at = at[chain[at] != chain[at - lag]]
+                at = at[at >= old]  # links among the rows carried over are out already
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(at)), ids.take(pa.array(at - lag)), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())],
