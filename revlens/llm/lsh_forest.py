@@ -13,7 +13,7 @@
 3. Candidates are joined to regions (connected components).  Inside a region every
    pair of members that no candidate named is tried too: a region is cut into
    blocks of at most ``block_docs`` members, a task takes two blocks, counts common shingles on the full sets and
-   returns a spanning forest of the true links (fewer than its members).  No link inside a region is
+   returns what the true links join (fewer rows than its members).  No link inside a region is
    lost, no list of pairs is made, and no task holds more than two blocks.
 4. Components of the true links give the result.
 
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,11 +116,22 @@ def _forest(classes: DataFrame, kind: str) -> DataFrame:
     return classes.select("id", "sig").mapInArrow(run, f"tree int, key binary, id {kind}")
 
 
+def _chain_heads(ids: pa.Array, linked: np.ndarray) -> np.ndarray:
+    """For each row the row with the smallest id of its chain; ``linked``: rows that belong to the chain of the row before."""
+    order = pc.sort_indices(ids).to_numpy()
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids))
+    begins = np.ones(len(ids), bool)
+    begins[linked] = False
+    return order[np.minimum.reduceat(rank, np.flatnonzero(begins))][np.cumsum(begins) - 1].astype(np.int64)
+
+
 def _neighbours(rows: DataFrame, kind: str, least: int, border: bool) -> DataFrame:
     """Candidates among sorted rows, each with the rows just before it in its partition; with ``border`` also the rows at both ends.
 
-    A candidate whose two rows a chain of adjacent candidates joins already is left out: only what
-    the candidates connect is used, and that stays the same."""
+    Only what the candidates connect is used.  So each chain of adjacent candidates is returned as its
+    smallest id beside every other one, and farther candidates as the smallest ids of the two chains they join:
+    trees that see the same group then name the same pairs, and components are found in few rounds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
@@ -140,7 +152,7 @@ def _neighbours(rows: DataFrame, kind: str, least: int, border: bool) -> DataFra
             key = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(n, _KEY)
             lead, sketch = np.ascontiguousarray(key[:, :4 * DEPTH]).view(np.uint32), key[:, 4 * DEPTH:]
             tree, ids = table.column("tree").to_numpy(), table.column("id").combine_chunks()
-            chain = np.zeros(n, np.int64)  # rows that links to the row just before them hold together have one number
+            head = np.zeros(n, np.int64)  # row with the smallest id of each row's chain
             for lag in range(1, NEIGHBOURS + 1):
                 at = np.arange(lag, n)
                 ok = (tree[at] == tree[at - lag]) & (lead[at, :MIN_DEPTH] == lead[at - lag, :MIN_DEPTH]).all(axis=1)
@@ -149,16 +161,17 @@ def _neighbours(rows: DataFrame, kind: str, least: int, border: bool) -> DataFra
                 differ = np.bitwise_count((x | x >> 1) & 0x55).sum(axis=1)
                 at = at[SIGNATURE - differ >= least]
                 if lag == 1:
-                    begins = np.ones(n, bool)
-                    begins[at] = False
-                    chain = np.cumsum(begins)
+                    head = _chain_heads(ids, at)
+                    near = np.flatnonzero(head != np.arange(n))
+                    pairs = np.stack([near, head[near]])
                 else:
-                    at = at[chain[at] != chain[at - lag]]
-                at = at[at >= old]  # links among the rows carried over are out already
-                if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(at)), ids.take(pa.array(at - lag)), pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.binary())],
-                        names=["a", "b", "tree", "key"])
+                    at = at[at >= old]  # links among the rows carried over are out already
+                    pairs = np.stack([head[at], head[at - lag]])
+                    pairs = np.unique(pairs[:, pairs[0] != pairs[1]], axis=1)
+                if pairs.size:
+                    a, b = (ids.take(pa.array(x)) for x in pairs)
+                    yield pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.binary())],
+                                                     names=["a", "b", "tree", "key"])
             kept = table.slice(max(0, n - NEIGHBOURS))
         if kept is not None and border:
             yield ends(kept, 1)
@@ -178,7 +191,7 @@ def candidate_pairs(spark: SparkSession, classes: DataFrame, kind: str, least: i
 
 
 def _links(codes: list[np.ndarray], block: np.ndarray, names: list, percent: int) -> list[tuple]:
-    """Spanning forest of the true links between the members of two blocks (of one, if all have the same number)."""
+    """What the true links between the members of two blocks (of one, if all have the same number) join: each group's smallest name beside every other."""
     n = len(codes)
     size = np.array([len(c) for c in codes])
     every = np.concatenate(codes)
@@ -201,7 +214,6 @@ def _links(codes: list[np.ndarray], block: np.ndarray, names: list, percent: int
         return x
 
     one = block.min() == block.max()
-    out = []
     for i in range(n):
         lists = of[by[cut[i]:cut[i + 1]]]
         if not len(lists):
@@ -213,10 +225,10 @@ def _links(codes: list[np.ndarray], block: np.ndarray, names: list, percent: int
         for j in near[near > i]:
             if one or block[j] != block[i]:
                 a, b = find(i), find(int(j))
-                if a != b:
-                    root[a] = b
-                    out.append((names[i], names[j]))
-    return out
+                if names[b] < names[a]:
+                    a, b = b, a
+                root[b] = a  # a root has the smallest name of its group
+    return [(names[i], names[find(i)]) for i in range(n) if find(i) != i]
 
 
 def _verified(members: DataFrame, kind: str, percent: int) -> DataFrame:
