@@ -159,6 +159,31 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty):
     assert lsh_forest.near_duplicates(spark, empty).count() == 0
 
 
+def test_chains_are_named_by_their_smallest_id():
+    ids = pa.array([7, 3, 9, 2, 5, 5])
+    assert lsh_forest._chain_heads(ids, np.array([1, 2, 4])).tolist() == [1, 1, 1, 3, 3, 5]
+    assert lsh_forest._chain_heads(pa.array(["b", "a"]), np.array([1])).tolist() == [1, 1]
+    assert lsh_forest._chain_heads(ids[:0], np.zeros(0, int)).tolist() == []
+
+
+def test_candidates_join_what_adjacent_rows_join(spark):
+    """Groups that run over several batches and partitions stay in one piece."""
+    signature = np.arange(lsh_forest.SIGNATURE, dtype=np.uint32)
+    rows = [(int(i), bytearray((signature + np.uint32(1000 * (i % 3))).tobytes())) for i in np.random.default_rng(4).permutation(400)]
+    classes = spark.createDataFrame(rows, "id long, sig binary")
+    batch, parts = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(batch), spark.conf.get(parts)
+    try:
+        spark.conf.set(batch, 16)
+        spark.conf.set(parts, 7)
+        pairs = lsh_forest.candidate_pairs(spark, classes, "bigint", 60)
+        got = {(r.node, r.root) for r in lsh_forest.connected_components(spark, pairs).collect()}
+    finally:
+        spark.conf.set(batch, before[0])
+        spark.conf.set(parts, before[1])
+    assert got == {(i, i % 3) for i in range(400)}
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7)]
     got = {r.node: r.root for r in connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
