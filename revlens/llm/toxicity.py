@@ -7,7 +7,8 @@ weights sparse; the non-zero ones (a sorted index array and a value array) are b
 Training: a bounded sample of the labelled rows (``max_train_rows``, drawn by a hash of the
 id) is dealt to groups of about ``SHARD_ROWS``, so there are at most ``max_train_rows / SHARD_ROWS``.  In every round each shard runs FTRL over its rows from the common
 state and returns what it changed; a coordinate's new state is the old one plus the mean change over the shards
-that touched it.  A shard includes a coordinate only if two of its rows and a share of ``min_share`` of them have it.
+that touched it.  A coordinate is included if ``min_rows`` rows of the whole sample have it, however they are dealt;
+which of these have a weight is left to L1.  Spark sums counts and changes by coordinate range, so the driver gets the size of the model.
 
 Rows: a null or empty text has the bias as its only feature.  Labels that are null, or of a null id, are not learned from;
 if an id has several labels, the largest counts.  Without labelled rows of both
@@ -26,9 +27,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm.common import materialize
-from revlens.llm.textops import ALNUM, mix, text_chunks, words
+from revlens.llm.textops import ALNUM, mix, pack_planes, text_chunks, unpack_planes, words
 
 SHARD_ROWS = 5000
+RANGES = 32
+_CHANGE = pa.schema([*((c, pa.int32()) for c in ("shard", "range", "size")), *((c, pa.binary()) for c in ("new", "once", "z", "n"))])
 _U = np.uint64
 _PAIR, _SKIP = _U(0xA24BAED4963EE407), _U(0x9FB21C651E98DF25)
 
@@ -63,10 +66,10 @@ def _training_rows(docs: DataFrame, sample: DataFrame, bits: int, shards: int) -
                 at, doc = _features(h, wo, bits)
                 both = np.unique((doc << bits) | at)
                 cut = np.searchsorted(both >> bits, np.arange(j - i + 1))
-                at = (both & ((1 << bits) - 1)).astype(np.int32)
+                at = (both & ((1 << bits) - 1)).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(i, j - i) for c in ("shard", "pick", "y")),
-                     pa.array([at[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["shard", "pick", "y", "at"])
+                     pa.array([pack_planes(np.diff(at[a:b], prepend=np.uint32(0))) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["shard", "pick", "y", "at"])
 
     rows = docs.join(F.broadcast(sample), "id")  # the sample is bounded by max_train_rows
     pick = F.xxhash64("id", F.lit(1))
@@ -74,6 +77,14 @@ def _training_rows(docs: DataFrame, sample: DataFrame, bits: int, shards: int) -
     return rows.mapInArrow(run, "shard int, pick long, y int, at binary")
 
 
+def _shard_rows(gaps: bytes, size: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates of the rows of a shard, and where each row ends."""
+    ends = np.cumsum(np.frombuffer(size, np.int32))
+    total = np.r_[0, np.cumsum(unpack_planes(gaps, np.uint32), dtype=np.int64)]
+    begin = np.r_[0, ends[:-1]]
+    return (total[1:] - np.repeat(total[begin], ends - begin)).astype(np.int32), ends
+
+
 class Ftrl:
     """State of an FTRL-proximal learner: gradient sums ``z`` and squared gradient sums ``n`` per coordinate; the last is the bias."""
 
@@ -96,59 +107,109 @@ class Ftrl:
         self.n[at] += g * g
 
 
-def fit(spark: SparkSession, rows: DataFrame, bits: int, rounds: int, min_share: float, alpha: float, beta: float, l1: float, l2: float):
+def _range_cuts(mask: np.ndarray) -> np.ndarray:
+    """Where each of ``RANGES`` equal coordinate ranges begins among the coordinates of a mask; the bias ends the last one."""
+    cuts = np.searchsorted(np.flatnonzero(mask), np.arange(RANGES + 1) * len(mask) // RANGES)
+    cuts[-1] += 1
+    return cuts
+
+
+def frequent(shards: DataFrame, bits: int, min_rows: int) -> np.ndarray:
+    """Mask of the coordinates that ``min_rows`` rows of the whole sample have: counts by range, summed by Spark."""
+    width = (1 << bits) // RANGES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                seen = np.bincount(_shard_rows(r["at"], r["size"])[0], minlength=1 << bits).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array([pack_planes(x) for x in np.split(seen, RANGES)])],
+                                                 names=["range", "seen"])
+
+    def add(table: pa.Table) -> pa.Table:
+        seen = np.zeros(width, np.int64)
+        for own in table.column("seen").to_pylist():
+            seen += unpack_planes(own, np.uint32)
+        return pa.table({"range": table.column("range")[:1], "mask": [np.packbits(seen >= min_rows).tobytes()]})
+
+    got = shards.select("at", "size").mapInArrow(count, "range int, seen binary").groupBy("range").applyInArrow(add, "range int, mask binary")
+    mask = np.zeros((RANGES, width), bool)
+    for r in got.collect():  # a bit a coordinate
+        mask[r["range"]] = np.unpackbits(np.frombuffer(r["mask"], np.uint8), count=width)
+    return mask.ravel()
+
+
+def fit(spark: SparkSession, rows: DataFrame, bits: int, rounds: int, min_rows: int, alpha: float, beta: float, l1: float, l2: float):
     """Non-zero weights: (ascending coordinates, values, bias)."""
-    bias = 1 << bits
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        """A shard as one row: the included coordinates of its texts, in a fixed order."""
+        """A shard as one row: the coordinates of its texts, in a fixed order."""
         pdf = pdf.sort_values(["pick", "y"], kind="stable")
-        own = [np.frombuffer(b, np.int32) for b in pdf["at"]]
-        seen = np.zeros(bias, np.int32)
-        for at in own:
-            seen[at] += 1
-        use = seen >= max(2, min_share * len(own))
-        own = [at[use[at]] for at in own]
-        return pd.DataFrame({"at": [np.concatenate(own).tobytes()], "size": [np.array([len(x) for x in own], np.int32).tobytes()],
+        own = [unpack_planes(b, np.uint32) for b in pdf["at"]]
+        return pd.DataFrame({"shard": pdf["shard"].to_numpy()[:1], "at": [pack_planes(np.concatenate(own))],
+                             "size": [np.array([len(x) for x in own], np.int32).tobytes()],
                              "y": [pdf["y"].to_numpy(np.int32).tobytes()]})
 
-    shards = materialize(spark, rows.groupBy("shard").applyInPandas(gather, "at binary, size binary, y binary"), "tox-shards")
-    model = Ftrl(bias, alpha, beta, l1, l2)
+    shards = materialize(spark, rows.groupBy("shard").applyInPandas(gather, "shard int, at binary, size binary, y binary"), "tox-shards")
+    mask = frequent(shards, bits, min_rows)
+    packed, cuts = np.packbits(mask), _range_cuts(mask)
+    model = Ftrl(int(mask.sum()), alpha, beta, l1, l2)  # of the included coordinates alone
+
+    def add(table: pa.Table) -> pa.Table:
+        """The mean change of a range over the shards that touched each coordinate; shards in a fixed order."""
+        size = table.column("size")[0].as_py()
+        dz, dn, hits = np.zeros(size, np.float32), np.zeros(size, np.float32), np.zeros(size, np.int32)
+        for r in sorted(table.to_pylist(), key=lambda r: r["shard"]):
+            new, once = (np.unpackbits(np.frombuffer(r[c], np.uint8), count=size).view(bool) for c in ("new", "once"))
+            z = unpack_planes(r["z"], np.float32)
+            n = z * z
+            n[~once[new]] = unpack_planes(r["n"], np.float32)
+            dz[new] += z
+            dn[new] += n
+            hits += new
+        hits = np.maximum(hits, 1)
+        return pa.table({"range": table.column("range")[:1], "z": [(dz / hits).astype(np.float32).tobytes()],
+                         "n": [(dn / hits).astype(np.float32).tobytes()]})
+
     for _ in range(rounds):
-        known = np.flatnonzero(model.n).astype(np.int32)
-        state = spark.sparkContext.broadcast((known, model.z[known], model.n[known]))
+        state = spark.sparkContext.broadcast((packed, model.z, model.n))
 
-        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def train(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    own, (known, z, n) = Ftrl(bias, alpha, beta, l1, l2), state.value
-                    own.z[known], own.n[known] = z, n
-                    z0, n0 = own.z.copy(), own.n.copy()
-                    ends = np.cumsum(np.frombuffer(r["size"], np.int32))
-                    for at, y in zip(np.split(np.frombuffer(r["at"], np.int32), ends[:-1]), np.frombuffer(r["y"], np.int32).tolist()):
-                        own.learn(np.append(at, bias), y)
-                    new = np.flatnonzero(own.n != n0).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x.tobytes()], pa.binary()) for x in (new, (own.z - z0)[new], (own.n - n0)[new])], names=["at", "z", "n"])
-
-        dz, dn, hits = (np.zeros(bias + 1, np.float32) for _ in range(3))
-        # one row a shard: the coordinates it touched
-        for r in shards.mapInArrow(train, "at binary, z binary, n binary").collect():
-            at = np.frombuffer(r["at"], np.int32)
-            dz[at] += np.frombuffer(r["z"], np.float32)
-            dn[at] += np.frombuffer(r["n"], np.float32)
-            hits[at] += 1
-        hits = np.maximum(hits, 1)
-        model.z += dz / hits
-        model.n += dn / hits
-    at = np.flatnonzero(model.n)
-    at = at[model.weights(at) != 0]
-    at = at[at != bias]
-    return at.astype(np.int64), model.weights(at).astype(np.float64), float(model.weights(np.array([bias]))[0])
+                    packed, z0, n0 = state.value
+                    use = np.unpackbits(packed, count=1 << bits).view(bool)
+                    place = np.cumsum(use, dtype=np.int32) - 1
+                    own = Ftrl(len(z0) - 1, alpha, beta, l1, l2)
+                    own.z[:], own.n[:] = z0, n0
+                    every, ends = _shard_rows(r["at"], r["size"])
+                    # a single row of the shard has it, at weight 0: n changes by the square of z's change and is not sent
+                    once = np.append(np.bincount(every, minlength=1 << bits)[use] == 1, False) & (own.weights(np.arange(len(z0))) == 0)
+                    for at, y in zip(np.split(every, ends[:-1]), np.frombuffer(r["y"], np.int32).tolist()):
+                        own.learn(np.append(place[at[use[at]]], len(z0) - 1), y)
+                    for i in range(RANGES):
+                        part = slice(cuts[i], cuts[i + 1])
+                        new = own.n[part] != n0[part]
+                        if new.any():
+                            yield pa.RecordBatch.from_pylist([{
+                                "shard": r["shard"], "range": i, "size": len(new),
+                                "new": np.packbits(new).tobytes(), "once": np.packbits(once[part]).tobytes(),
+                                "z": pack_planes((own.z[part] - z0[part])[new]),
+                                "n": pack_planes((own.n[part] - n0[part])[new & ~once[part]])}], schema=_CHANGE)
+
+        changes = shards.mapInArrow(train, "shard int, range int, size int, new binary, once binary, z binary, n binary")
+        # a row a range, all together the size of the model, whatever the number of shards
+        for r in changes.groupBy("range").applyInArrow(add, "range int, z binary, n binary").collect():
+            part = slice(cuts[r["range"]], cuts[r["range"] + 1])
+            model.z[part] += np.frombuffer(r["z"], np.float32)
+            model.n[part] += np.frombuffer(r["n"], np.float32)
+        state.destroy()
+    w = model.weights(np.arange(len(model.z)))
+    at = np.flatnonzero(w[:-1])
+    return np.flatnonzero(mask)[at], w[at].astype(np.float64), float(w[-1])
 
 
 def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "toxic",
-                   id_col: str = "doc_id", text_col: str = "text", bits: int = 22, rounds: int = 6, min_share: float = 0.001,
+                   id_col: str = "doc_id", text_col: str = "text", bits: int = 22, rounds: int = 6, min_rows: int = 2,
                    alpha: float = 1.0, beta: float = 1.0, l1: float = 3.0, l2: float = 1.0, max_train_rows: int = 40_000) -> DataFrame:
     """One row per row of ``docs``: id, score (0 to 1).  ``train`` is a condition on the id column of ``labels``."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -158,7 +219,7 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, trai
     if set(seen) >= {0, 1}:
         shards = -(-sum(seen.values()) // SHARD_ROWS)
         rows = _training_rows(src, sample, bits, shards)
-        model = fit(spark, rows, bits, rounds, min_share, alpha, beta, l1, l2)
+        model = fit(spark, rows, bits, rounds, min_rows, alpha, beta, l1, l2)
     else:
         share = (seen.get(1, 0) + 0.5) / (sum(seen.values()) + 1)
         model = np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share)))

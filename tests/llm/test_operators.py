@@ -292,6 +292,21 @@ def test_classifiers_learn_and_take_edge_rows(spark, docs, empty):
         assert score(spark, docs, labels.limit(0), F.lit(True)).count() == docs.count()
 
 
+def test_toxic_terms_that_few_rows_of_each_shard_have_get_weights(spark):
+    rng = np.random.default_rng(11)
+    plain = [" ".join(rng.choice(WORDS, 8)) for _ in range(9600)]
+    # 100 toxic words: four rows learned from (of over 5,000 in each of two shards), one held out
+    toxic = [f"{' '.join(rng.choice(WORDS, 4))} slur{i // 5} {' '.join(rng.choice(WORDS, 4))}" for i in range(500)]
+    frame = spark.createDataFrame(list(enumerate(plain + toxic)), "doc_id long, text string").repartition(4)
+    labels = frame.select("doc_id", (F.col("doc_id") >= len(plain)).cast("int").alias("toxic"))
+    held = F.when(F.col("doc_id") >= len(plain), (F.col("doc_id") - len(plain)) % 5 == 0).otherwise(F.col("doc_id") % 12 == 0)
+    labels = labels.unionByName(spark.range(20_000, 20_900).select(F.col("id").alias("doc_id"), F.lit(0).alias("toxic")))
+    score = toxicity.score_toxicity(spark, frame, labels, ~held).where(held).toPandas()
+    bad = score["doc_id"] >= len(plain)
+    above = np.mean([(score["score"][~bad] < x).mean() for x in score["score"][bad]])  # area under the curve
+    assert bad.sum() == 100 and above > 0.9
+
+
 def test_url_rules_and_trees(spark):
     urls = [None, "", "no scheme", "http://A.Example.ORG/es/1", "https://example.org/en/12?x=1", "ftp://x.org", "http://org/a", "http://b.com/de/1#f",
             "http://b.com/fr/1", "http://b.com/en/1", "http://notexample.org/es/", "://c.net/q?u://v"]
