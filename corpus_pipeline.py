@@ -2,8 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet and
 read again as the next stage's ``docs``.  All stages but the last return the columns of
-``documents``.  A null text is treated as empty by every stage; rows that share a doc_id are
-judged row by row where the stage's operator does so (see the operators).
+``documents``.  A null text is treated as empty by every stage.  Rows that share a doc_id, or have none, are
+judged row by row: a verdict holds for the rows of its id and text.  Near-duplicates are the exception: rows that share a doc_id
+are one document there (see the operator).  That stage keeps one of repeated rows (same id and text).
 """
 
 from __future__ import annotations
@@ -13,18 +14,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import line_dedup, lsh_forest, packing, pu_quality, winnow
-from revlens.llm.common import id_crc, materialize, read_table
+from revlens.llm.common import id_crc, materialize, read_table, text_key
 
 
 def _keep(docs: DataFrame, judged: DataFrame, keep) -> DataFrame:
-    """Rows of ``docs`` whose id has a verdict to stay; a null id is matched like any other."""
-    ids = judged.where(keep).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+    """Rows of ``docs`` whose id and text have a verdict to stay; a null id is matched like any other."""
+    own = judged.where(keep).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    return docs.join(own, docs["doc_id"].eqNullSafe(own["_id"]) & (text_key() == own["_key"]), "left_semi")
+
+
+def _one_of_repeated(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with one of the rows that share id and text: the smallest by the other columns."""
+    keys = docs.groupBy("doc_id", text_key().alias("_key")).agg(F.count("*").alias("rows")).where("rows > 1")
+    keys = materialize(spark, keys.select(F.col("doc_id").alias("_id"), "_key"), "repeated")
+    if keys.isEmpty():
+        return docs
+    same = docs["doc_id"].eqNullSafe(keys["_id"]) & (text_key() == keys["_key"])
+    least = F.min(F.struct(*(c for c in docs.columns if c != "doc_id"))).alias("row")  # summed per task before it moves
+    rest = docs.join(keys, same, "left_semi").groupBy("doc_id", text_key().alias("_key")).agg(least)
+    return docs.join(keys, same, "left_anti").unionByName(rest.select("doc_id", "row.*").select(*docs.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.3 or more stay."""
-    got = pu_quality.score_quality(spark, docs, read_table(spark, sf_dir, "labels"), id_crc() % 5 != 0)
+    got = pu_quality.score_quality(spark, docs, read_table(spark, sf_dir, "labels"), id_crc() % 5 != 0, keyed=True)
     return _keep(docs, got, F.col("score") >= 0.3)
 
 
@@ -37,12 +50,13 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group stays."""
-    return _keep(docs, lsh_forest.near_duplicates(spark, docs), "kept")
+    kept = _keep(docs, lsh_forest.near_duplicates(spark, docs, keyed=True), "kept")
+    return _one_of_repeated(spark, kept)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
-    got = winnow.decontaminate(spark, docs, read_table(spark, sf_dir, "benchmark"))
+    got = winnow.decontaminate(spark, docs, read_table(spark, sf_dir, "benchmark"), keyed=True)
     return _keep(docs, got, ~winnow.contaminated())
 
 

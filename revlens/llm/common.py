@@ -19,6 +19,11 @@ def id_crc(col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
 
 
+def text_key(col: str = "text") -> Column:
+    """With the id the key of a row: a hash of the text; a null text counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(col), F.lit("")))
+
+
 def materialize(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 

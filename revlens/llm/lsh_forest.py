@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import connected_components, materialize
+from revlens.llm.common import connected_components, materialize, text_key
 from revlens.llm.textops import SPACED, grams, text_chunks, words
 
 SIGNATURE = 96
@@ -80,7 +80,7 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(docs: DataFrame, k: int, kind: str) -> DataFrame:
+def _signatures(docs: DataFrame, k: int, kind: str, keyed: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in text_chunks(batch.column("text")):
@@ -89,11 +89,13 @@ def _signatures(docs: DataFrame, k: int, kind: str) -> DataFrame:
                     size.append(len(s))
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sigs.append(signature(s).tobytes() if len(s) else None)
+                row = [batch.column("text_key").slice(i, j - i)] if keyed else []
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(i, j - i), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                    names=["id", "n_shingles", "set_key", "sig"])
+                    [batch.column("id").slice(i, j - i), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), *row],
+                    names=["id", "n_shingles", "set_key", "sig", "text_key"][:4 + keyed])
 
-    return docs.mapInArrow(run, f"id {kind}, n_shingles long, set_key binary, sig binary")
+    docs = docs.withColumn("text_key", text_key("text")) if keyed else docs
+    return docs.mapInArrow(run, f"id {kind}, n_shingles long, set_key binary, sig binary" + ", text_key long" * keyed)
 
 
 def _forest(classes: DataFrame, kind: str) -> DataFrame:
@@ -260,15 +262,15 @@ def _verified(members: DataFrame, kind: str, percent: int) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    percent: int = 75, block_docs: int = 128, block_shingles: int = 1 << 18) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept.
+                    percent: int = 75, block_docs: int = 128, block_shingles: int = 1 << 18, keyed: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept, and the row's ``text_key`` if ``keyed``.
 
     Two documents are linked if ``100 * |A & B| >= percent * |A | B|``.  ``block_docs`` and
     ``block_shingles`` bound what a verifying task holds.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sigs = materialize(spark, _signatures(src, k, kind), "signatures")
+    sigs = materialize(spark, _signatures(src, k, kind, keyed), "signatures")
     classes = (sigs.where("set_key is not null").groupBy("set_key")
                .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
     classes = materialize(spark, classes, "classes")
@@ -311,5 +313,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     rep = sigs.join(classes.select("set_key", F.col("id").alias("rep")), "set_key", "left")
     got = rep.join(found, rep["rep"] == found["node"], "left")
     component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.coalesce("root", "rep"))
-    return got.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+    got = got.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), *["text_key"] * keyed)
+    kept = F.col(id_col).eqNullSafe(F.col("component_id")).alias("kept")
+    return got.select(id_col, "n_shingles", "component_id", kept, *["text_key"] * keyed)

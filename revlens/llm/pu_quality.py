@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.llm.common import text_key
 from revlens.llm.textops import SPACED, text_chunks, words
 from revlens.llm.toxicity import sample_labels
 
@@ -128,10 +129,14 @@ def nnpu_fit(p: np.ndarray, u: np.ndarray, prior: float, size: int, epochs: int
 
 def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality",
                   id_col: str = "doc_id", text_col: str = "text", prior: float | None = None, bins: int = 16,
-                  max_rows: int = 20_000) -> DataFrame:
-    """One row per row of ``docs``: id, score (0 to 1).  ``train`` is a condition on the id column of ``labels``."""
+                  max_rows: int = 20_000, keyed: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, score (0 to 1), and the row's ``text_key`` if ``keyed``.
+
+    ``train`` is a condition on the id column of ``labels``.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    read = src.withColumn("text_key", text_key("text")) if keyed else src
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train)
     n, ones = usable.agg(F.count("*"), F.sum(F.col(label_col).cast("int"))).first()
     if prior is None:
@@ -158,7 +163,8 @@ def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train
         for batch in batches:
             for i, j, data, offs in text_chunks(batch.column("text")):
                 z = w[_bins(text_features(data, offs).astype(np.float32), edges)].sum(axis=1) + w[-1]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))],
-                                                 names=["id", "score"])
+                keys = [batch.column("text_key").slice(i, j - i)] if keyed else []
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))), *keys],
+                                                 names=["id", "score", "text_key"][:2 + keyed])
 
-    return src.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return read.mapInArrow(run, f"id {kind}, score double" + ", text_key long" * keyed).withColumnRenamed("id", id_col)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.common import materialize
+from revlens.llm.common import materialize, text_key
 from revlens.llm.textops import ALNUM, grams, mix, segment_ranges, text_chunks, words
 
 _U = np.uint64
@@ -233,8 +233,8 @@ def _scan_joined(spark: SparkSession, docs: DataFrame, plan, fps: DataFrame) ->
 
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = 13, k: int = 9,
-                  max_broadcast: int = 2_000_000) -> DataFrame:
-    """One row per row of ``docs``: id, n_words, n_hit (words inside benchmark windows), items (sorted ids), spans.
+                  max_broadcast: int = 2_000_000, keyed: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, n_words, n_hit (words inside benchmark windows), items (sorted ids), spans, and the row's ``text_key`` if ``keyed``.
 
     ``spans`` are the merged hit ranges (start word, end word).  The id keeps
     its type; ``items`` are strings.
@@ -245,7 +245,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most `window` values
     plan = _plan(window, lengths, k)
     src = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    src = src.select("id", F.xxhash64("text").alias("text_key"), "text")
+    src = src.select("id", text_key("text").alias("text_key"), "text")
     head = fps.limit(max_broadcast + 1).toPandas()
     if len(head) <= max_broadcast:
         table = {n: np.sort(head["fp"][head["length"] == n].to_numpy(np.int64).view(_U)) for n in lengths}
@@ -274,7 +274,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col
     return (base.join(per_doc.alias("p"), same("p"), "left").join(named.alias("n"), same("n"), "left")
             .select(F.col("d.id").cast(kind).alias(id_col), "d.n_words", F.coalesce("p.n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("n.items", F.array().cast("array<string>")).alias("items"),
-                    F.coalesce("p.spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans")))
+                    F.coalesce("p.spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"), *["d.text_key"] * keyed))
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):

@@ -1,5 +1,7 @@
 """The corpus pipeline against plain Python over the stages' own verdicts."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from revlens.llm import line_dedup, lsh_forest, pu_quality, winnow
 from revlens.llm.common import id_crc, materialize, read_table
@@ -39,3 +41,36 @@ def test_empty_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = materialize(spark, stage(spark, docs, SF_SMALL), f"test-empty-{name}")
         assert docs.count() == 0
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_are_judged_each(spark, monkeypatch):
+    base = read_table(spark, SF_SMALL, "documents")
+    item = read_table(spark, SF_SMALL, "benchmark").where(F.size(F.split("text", " ")) >= 13).first().text
+    clean, other = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    rows = [(None, clean), (None, item), (7, other), (7, item), (8, item), (9, clean)]
+
+    def frame(own):
+        texts = spark.createDataFrame(own, "_id long, _text string")
+        return texts.crossJoin(base.limit(1)).select(*({"doc_id": F.col("_id").cast(base.schema["doc_id"].dataType), "text": F.col("_text")}.get(c, F.col(c)).alias(c)
+                                                       for c in base.columns))
+
+    def left(out):
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+    got = corpus_pipeline.decontamination(spark, frame(rows), SF_SMALL)
+    assert left(got) == sorted([(None, clean), (7, other), (9, clean)], key=repr)
+    # a row without an id goes with its equal, another stays; of repeated rows one stays, with or without an id
+    repeated = [(3, clean), (3, clean), (None, clean), (None, other), (None, other), (4, item)]
+    got = corpus_pipeline.near_duplicates(spark, frame(repeated), SF_SMALL)
+    assert left(got) == sorted([(3, clean), (None, other), (4, item)], key=repr)
+    # every row has its key beside its score, and stays by its own score
+    keys = pu_quality.score_quality(spark, frame(rows), read_table(spark, SF_SMALL, "labels"), id_crc() % 5 != 0, keyed=True)
+    want = frame(rows).select("doc_id", F.xxhash64("text").alias("text_key"))
+    assert sorted((r[0], r[2]) for r in keys.where("doc_id is not null").collect()) == sorted(map(tuple, want.where("doc_id is not null").collect()))
+
+    def scored(spark, docs, *args, **kw):
+        return docs.select("doc_id", F.when(F.col("text") == item, 0.1).otherwise(0.9).alias("score"), F.xxhash64("text").alias("text_key"))
+
+    monkeypatch.setattr(pu_quality, "score_quality", scored)
+    got = corpus_pipeline.quality(spark, frame(rows), SF_SMALL)
+    assert left(got) == sorted([(None, clean), (7, other), (9, clean)], key=repr)
