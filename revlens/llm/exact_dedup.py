@@ -7,11 +7,12 @@
    bit, and when its depth passes the directory's the directory doubles.  It is
    built from a histogram of key prefixes and has about ``keys / bucket_keys`` entries.
 3. The index (bucket, key, rows, largest id) is written to the shared folder,
-   dealt by bucket and sorted by key: each owner task holds a range of keys.
-4. Keys with more than one row are chained: the owner compares the bytes of
-   their texts (grouping on key and text, again pre-aggregated per task), so two
+   dealt by bucket and sorted by key.  The directory is a storage layout only: steps 4 and 5
+   don't use it, and without it the result is the same.
+4. Keys with more than one row are chained: the bytes of their texts are compared by
+   grouping on key and text over hash partitions, again pre-aggregated per task, so two
    texts that share a key get two chain slots and never merge.
-5. Rows look their key up in the index; rows of the keys with several chain slots
+5. Rows meet the index rows by a join on the key; rows of the keys with several chain slots
    find their slot by text.
 
 Rows: a null text counts as empty; empty texts are equal to each other.  Null ids
