@@ -1,15 +1,16 @@
 """Token-id files of patched frame-of-reference blocks.
 
-Documents are range-partitioned and sorted by id, encoded, and each partition becomes
-one binary file, written by Spark's own committed writer, so any file
+Documents are range-partitioned by id, a hash of the text and, for repeated rows, their place in the input, so that equal
+ids fill as many partitions as they need.  They are sorted, encoded, and each partition becomes
+one binary file or, beyond ``frames_per_file`` frames, several, written by Spark's own committed writer, so any file
 system that Spark writes will do and a lost task leaves nothing behind.
 
 File: frames one after the other, each followed by one byte 0x0A.  Frame, little-endian:
 
 ====================  ==========================================================
 ``PFR1``              magic, 4 bytes
-u32 x 3               file's number in id order, documents, blocks
-u64 x 5               frame bytes, ids of the file before the frame, ids in the frame,
+u32 x 3               partition's number in id order, documents, blocks
+u64 x 5               frame bytes, ids of the partition before the frame, ids in the frame,
                       bytes of the packed section, number of exceptions
 i64 x documents       ids of the documents, then u8 x documents: 1 where the id is null
 u64 x documents       token counts
@@ -24,7 +25,7 @@ values that need more bits keep their low bits in place and their high bits in t
 exception list.  The block index lets ``read_ids`` decode any range alone.
 
 Rows: a null text is empty; an empty text is its end id alone.  Null ids come first;
-rows that share an id, repeated rows too, are ordered by text.  An empty table gives files
+rows that share an id are ordered by a hash of the text.  An empty table gives files
 without frames and no rows.  Only the named id and text columns are read.
 """
 
@@ -151,10 +152,14 @@ def frames(data) -> Iterator[Frame]:
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                      end_id: int = END_ID, percentile: float = 0.9, frame_ids: int = 1 << 20) -> None:
-    """Write the ids of all documents, each followed by ``end_id``, in ascending id order.  Ids are integers or null."""
-    src = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-           .repartitionByRange("id").sortWithinPartitions("id", "text"))
+                      end_id: int = END_ID, percentile: float = 0.9, frame_ids: int = 1 << 20, frames_per_file: int = 32) -> None:
+    """Write the ids of all documents, each followed by ``end_id``, in ascending id order.  Ids are integers or null.
+
+    A file is read back as one value of at most 2 GB; a frame has some 3 MB, and under 40 MB with empty texts only.
+    """
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = src.select("id", "text", F.xxhash64("text").alias("spread"), F.monotonically_increasing_id().alias("place"))
+    src = src.repartitionByRange("id", "spread", "place").sortWithinPartitions("id", "spread", "text").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part = encoder(tokenizer_path), TaskContext.get().partitionId()
@@ -181,7 +186,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
         if held:
             yield frame()
 
-    src.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value")).write.text(path)
+    src.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("maxRecordsPerFile", frames_per_file).text(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -201,7 +206,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     docs = materialize(spark, files.mapInArrow(run, "doc_id long, part int, local long, n_tokens long, ids_crc32 long"), "token-docs")
-    totals = docs.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row per file
+    totals = docs.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # one row per partition written
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
     return (docs.join(F.broadcast(totals), "part")

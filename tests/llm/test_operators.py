@@ -244,6 +244,28 @@ def test_token_files_round_trip(spark, docs, empty):
     assert token_blocks.read_token_files(spark, none).count() == 0
 
 
+def test_token_files_split_equal_ids(spark):
+    texts = [text_of(3000 + i, 30) for i in range(200)] + [text_of(1, 30)] * 200
+    frame = spark.createDataFrame([(None, t) for t in texts] + [(i, text_of(i, 30)) for i in range(100)], "doc_id long, text string").repartition(4)
+    path, conf = scratch_path(spark, "test-tokens"), "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        token_blocks.write_token_files(frame, path, public_tokenizers.path("byte_bpe_50k.json"), frame_ids=500, frames_per_file=2)
+    finally:
+        spark.conf.set(conf, before)
+    files = [list(token_blocks.frames(r.content)) for r in spark.read.format("binaryFile").load(path).select("content").collect()]
+    nulls = {}
+    for f in (f for own in files for f in own):
+        nulls[f.part] = nulls.get(f.part, 0) + int(f.null_ids.sum())
+    assert max(map(len, files)) <= 2 and sum(nulls.values()) == 400 and max(nulls.values()) < 130
+    got = sorted(token_blocks.read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 400 + list(range(100))
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
+    rows = frame.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), zlib.crc32(x.tobytes())) for _, x in expected_ids(rows, "byte_bpe_50k.json")]
+
+
 def test_blocks_keep_outliers_and_ranges():
     rng = np.random.default_rng(4)
     for n in (0, 1, 255, 256, 257, 5000):
