@@ -12,6 +12,7 @@ from revlens.plans.oracle_base import bucket_of, clean, full_text, label_of, nam
 from revlens.plans.registry import register
 from revlens.sources.files import table
 from revlens.sources.fixtures import dirty_text, document_text, review_text, reviews
+from revlens.sources.review_store import keyed_reviews, product_table
 from revlens.sources.schemas import SCORED_COLUMNS
 
 
@@ -31,7 +32,8 @@ def q_extract(spark, sf_dir):
 @register("product_lookup", with_fixtures(
     "SELECT Id, ProductId, Score, predicted_sentiment, Time FROM reviews WHERE ProductId = 'P0007'", "reviews"), ("SC05", "FL05"))
 def q_product_lookup(spark, sf_dir):
-    r = reviews(spark, sf_dir)
+    """One bucket of the published table is read."""
+    r = keyed_reviews(spark, sf_dir)
     return r.where(F.col("ProductId") == "P0007").select("Id", "ProductId", "Score", "predicted_sentiment", "Time")
 
 
@@ -44,10 +46,39 @@ ORDER BY processed_at DESC, Id DESC LIMIT 20""", "reviews"), ("FL18",))
 def q_review_search(spark, sf_dir):
     from revlens.operators.feed import review_search
 
-    return review_search(reviews(spark, sf_dir), product_id="P0042", start="1995-01-01 00:00:00", end="2000-01-01 00:00:00",
+    return review_search(keyed_reviews(spark, sf_dir), product_id="P0042", start="1995-01-01 00:00:00", end="2000-01-01 00:00:00",
                          sentiment="positive", limit=20)
 
 
+@register("product_summary", with_fixtures(
+    f"""
+SELECT ProductId, count(*) AS review_count, {rhu("2 * count(*) FILTER (WHERE predicted_sentiment = 'positive') + count(*) FILTER (WHERE predicted_sentiment = 'neutral')", "count(*)", 1, 2)} AS avg_sentiment
+FROM reviews WHERE ProductId = 'P0007' GROUP BY ProductId""", "reviews"), ("SC05", "SK03"))
+def q_product_summary(spark, sf_dir):
+    """The keyed product-metrics table, one bucket read."""
+    return product_table(spark, sf_dir).where(F.col("ProductId") == "P0007").select("ProductId", "review_count", "avg_sentiment")
+
+
+@register("review_product_context", with_fixtures(
+    f"""
+WITH p AS (SELECT ProductId, count(*) AS review_count,
+                  count(*) FILTER (WHERE predicted_sentiment = 'negative') AS negative_count FROM reviews GROUP BY ProductId)
+SELECT r.Id, r.ProductId, r.predicted_sentiment, p.review_count, {rhu("p.negative_count", "p.review_count", 1, 2)} AS negative_ratio
+FROM reviews r JOIN p ON r.ProductId = p.ProductId""", "reviews"), ("SC05", "FL05"))
+def q_review_product_context(spark, sf_dir):
+    """Each review beside its product's figures: both tables lie in the same buckets, so neither is shuffled."""
+    p = product_table(spark, sf_dir).select("ProductId", "review_count", "negative_ratio")
+    r = keyed_reviews(spark, sf_dir).select("Id", "ProductId", "predicted_sentiment")
+    return r.join(p.hint("merge"), "ProductId").select("Id", "ProductId", "predicted_sentiment", "review_count", "negative_ratio")
+
+
+@register("products_with_reviews", with_fixtures(
+    "SELECT ProductId, CAST(count(*) AS BIGINT) AS review_count FROM reviews GROUP BY ProductId HAVING count(*) > 0", "reviews"), ("FL10",))
+def q_products_with_reviews(spark, sf_dir):
+    """Products with a positive review count."""
+    return product_table(spark, sf_dir).where(F.col("review_count") > 0).select("ProductId", "review_count")
+
+
 @register("score_label", with_fixtures(
     f"SELECT Id, Score, {label_of()} AS label, {name_of(label_of())} AS sentiment FROM reviews", "reviews"), ("PJ06", "PJ07"))
 def q_score_label(spark, sf_dir):

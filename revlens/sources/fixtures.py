@@ -1,7 +1,8 @@
 """Fixture adapters: review-shaped views derived from the driver tables.
 
-Each view is a lazy DataFrame over the parquet tables, so its size grows with
-the scale factor and Catalyst prunes the columns a query does not touch.
+Each view is a DataFrame over the parquet tables, so its size grows with
+the scale factor and Catalyst prunes the columns a query does not touch.  All are lazy but
+``reviews``, which reads the published table.
 The same definitions are written as DuckDB SQL in ``revlens.plans.oracle``.
 """
 
@@ -15,20 +16,10 @@ from revlens.sources.files import table
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored-review table: a lazy view, so each query reads its own columns and always the present files."""
-    return reviews_view(spark, sf_dir)
+    """The scored reviews as published for the present source files (see ``review_store``)."""
+    from revlens.sources.review_store import published_reviews
 
-
-def build_review_table(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    """Write the scored reviews to ``path`` for keyed reads, and read them back.
-
-    An explicit job of the caller, who owns ``path`` and decides when to renew it.  Rows are
-    range-partitioned and sorted by product, time and Id, so a product's rows lie in few files and
-    row groups (min/max statistics prune the rest), and a product with many rows spreads over several."""
-    r = reviews_view(spark, sf_dir)
-    keys = ["ProductId", "processed_at", "Id"]
-    r.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return published_reviews(spark, sf_dir)
 
 
 def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +30,11 @@ def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     key; the text comes from documents by ``orderkey mod count(documents)``,
     where the count is a scalar subquery (one metadata-only job).  All joins
     are equi-joins that Spark may broadcast or shuffle by size (AQE).
+
+    The narrow rows are dealt by the document they will carry, into a stated number of
+    partitions, before the texts join.  AQE merges small shuffles but leaves a stated number alone, so the
+    (far larger) text work behind the join always has that many tasks, also where ``documents`` is
+    broadcast; where it is shuffled instead, the rows already lie as that join needs them.
     """
     li = (
         table(spark, sf_dir, "lineitem")
@@ -55,11 +51,13 @@ def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_docs = docs_all.agg(F.count(F.lit(1))).scalar()
     docs = docs_all.select(F.col("doc_id"), F.col("text"))
 
-    base = (
+    narrow = (
         orders.join(li, orders.o_orderkey == li.l_orderkey)
         .join(cust, orders.o_custkey == cust.c_custkey, "left")
-        .join(docs, (orders.o_orderkey % n_docs) == docs.doc_id)
+        .withColumn("_doc", F.col("o_orderkey") % n_docs)
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_doc")
     )
+    base = narrow.join(docs, F.col("_doc") == F.col("doc_id"))
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     s = (ok * 7919 + ck) % 100
     score = F.when(s < 9, 1).when(s < 14, 2).when(s < 22, 3).when(s < 36, 4).otherwise(5)

@@ -49,17 +49,6 @@ def test_no_python_udf_in_relational_plans(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, k
 
 
-def test_keyed_read_of_the_review_table_pushes_its_filter(spark):
-    from revlens.session import scratch_path
-    from revlens.sources.fixtures import build_review_table
-
-    table = build_review_table(spark, SF_SMALL, scratch_path(spark, "review-table"))
-    df = table.where("ProductId = 'P0007'").select("Id", "ProductId", "Score")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(ProductId), EqualTo(ProductId,P0007)]" in plan
-    assert {r.Id for r in df.collect()} == {r.Id for r in E.queries()["product_lookup"](spark, SF_SMALL).collect()}
-
-
 def test_changed_inputs_are_seen(spark, tmp_path):
     import shutil
 
