@@ -9,7 +9,8 @@ shard depends on that shard, so
 
 * a shard that is added, or gains weight, only takes ids into itself, from everywhere alike;
 * a shard that leaves, or loses weight, only gives its own ids away;
-* a reserve that changes (a new region, a larger rack) moves ids only into or out of subtrees that hold it.
+* a reserve that changes (a new region, a larger rack) changes draws only towards or away from the subtrees that hold it; an id drawn
+  there and not admitted goes on to its next descent.
 
 After ``DESCENTS`` refused descents (chance ``(1 - filled share) ** DESCENTS``) the smallest draw among the shards themselves
 decides, which keeps these rules.  Only the id and the shards' weights enter: equal ids, also all null ones (they count
