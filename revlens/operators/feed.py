@@ -32,6 +32,13 @@ def start_cursor(df: DataFrame, ts: str = "processed_at", key: str = "Id") -> Da
     return next_cursor(df, ts, key)
 
 
+def feed_after(df: DataFrame, cursor: DataFrame, page_size: int = 50, ts: str = "processed_at", key: str = "Id") -> DataFrame:
+    """FL16: the first ``page_size`` rows after a one-row cursor table, such as ``start_cursor`` gives at process start."""
+    at, last = cursor.select(ts).scalar(), cursor.select(key).scalar()
+    later = (F.col(ts) > at) | ((F.col(ts) == at) & (F.col(key) > last)) | at.isNull()
+    return top_k(df.where(later), [F.asc(ts), F.asc(key)], page_size)
+
+
 def dedup_deliveries(df: DataFrame, key: str = "Id", ts: str = "delivered_at") -> DataFrame:
     """SO07: one row per key with its first delivery time and delivery count."""
     return df.groupBy(key).agg(F.min(ts).alias("first_delivered_at"), F.count(F.lit(1)).alias("deliveries"))
@@ -57,4 +64,4 @@ def parse_cursor(df: DataFrame, iso_col: str = "last_time", lookback: str = "5 m
     values fall back to ``now - lookback`` (session time zone UTC)."""
     t = F.try_to_timestamp(F.regexp_replace(F.col(iso_col), "Z$", ""))
     fallback = F.current_timestamp() - F.expr(f"INTERVAL {lookback}")
-    return df.withColumn("cursor_ts", F.coalesce(t, fallback).cast("timestamp_ntz"))
+    return df.withColumn("cursor_ts", F.coalesce(t, fallback).cast("timestamp_ntz")).withColumn("cursor_parsed", t.isNotNull())

@@ -61,10 +61,10 @@ def q_product_summary(spark, sf_dir):
 
 @register("review_product_context", with_fixtures(
     f"""
-WITH p AS (SELECT ProductId, count(*) AS review_count,
-                  count(*) FILTER (WHERE predicted_sentiment = 'negative') AS negative_count FROM reviews GROUP BY ProductId)
-SELECT r.Id, r.ProductId, r.predicted_sentiment, p.review_count, {rhu("p.negative_count", "p.review_count", 1, 2)} AS negative_ratio
-FROM reviews r JOIN p ON r.ProductId = p.ProductId""", "reviews"), ("SC05", "FL05"))
+SELECT Id, ProductId, predicted_sentiment, review_count, {rhu("negative_count", "review_count", 1, 2)} AS negative_ratio
+FROM (SELECT Id, ProductId, predicted_sentiment, count(*) OVER p AS review_count,
+             count(*) FILTER (WHERE predicted_sentiment = 'negative') OVER p AS negative_count
+      FROM reviews WINDOW p AS (PARTITION BY ProductId))""", "reviews"), ("SC05", "FL05"))
 def q_review_product_context(spark, sf_dir):
     """Each review beside its product's figures: both tables lie in the same buckets, so neither is shuffled."""
     p = product_table(spark, sf_dir).select("ProductId", "review_count", "negative_ratio")

@@ -36,6 +36,6 @@ def register(key: str, sql: str | None = None, ids: tuple[str, ...] = (), bench:
 
 def load_all() -> dict[str, Query]:
     # importing the plan modules registers their queries
-    from revlens.plans import dashboard, evaluation, ml_plans, prep, profiling, streams, text  # noqa: F401
+    from revlens.plans import dashboard, evaluation, live, ml_plans, prep, profiling, streams, text  # noqa: F401
 
     return QUERIES

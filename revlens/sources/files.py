@@ -63,7 +63,9 @@ def write_review_csv(df: DataFrame, path: str) -> None:
 def to_messages(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Encode rows as one JSON object per row in a ``value`` column (nulls kept)."""
     cols = columns or df.columns
-    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"ignoreNullFields": "false", "timestampFormat": f"{micros}XXX", "timestampNTZFormat": micros}
+    return df.select(F.to_json(F.struct(*cols), options).alias("value"))
 
 
 def parse_messages(messages: DataFrame, schema=RAW_REVIEW) -> DataFrame:
