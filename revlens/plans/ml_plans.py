@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from revlens.functions.labels import score_label, sentiment_index
 from revlens.ml import features as FE
 from revlens.ml import lifecycle as LC
 from revlens.ml import models as MO
+from revlens.ml.run_log import RunLog, nightly, record_scores
 from revlens.operators import prep as PR
 from revlens.plans.oracle_base import MLLIB_STOP_SQL, clean, full_text, index_of, label_of, split_of, with_fixtures
 from revlens.plans.registry import register
@@ -142,6 +142,37 @@ def q_nb(spark, sf_dir):
     return MO.predictions(MO.naive_bayes().fit(train), test)
 
 
+_BAYES_SQL = with_fixtures(_FEATURES_SQL + """,
+val AS (SELECT t.kind, t.Id, t.term, count(*) * any_value(ln((SELECT m + 1 FROM m) / (v.df + 1))) AS v
+        FROM terms t JOIN vocab v ON t.kind = v.kind AND t.term = v.term GROUP BY t.kind, t.Id, t.term),
+cls AS (SELECT k AS label, (SELECT count(*) FROM r WHERE split = 'train' AND r.label = k) AS n FROM (VALUES (0), (1), (2)) x(k)),
+prior AS (SELECT label, ln(n + 1.0) - ln((SELECT sum(n) FROM cls) + 3.0) AS lp FROM cls),
+sums AS (SELECT vocab.kind, vocab.term, cls.label, coalesce(any_value(s.v), 0.0) AS v FROM vocab CROSS JOIN cls
+         LEFT JOIN (SELECT val.kind, val.term, r.label, sum(val.v) AS v FROM val JOIN r ON r.Id = val.Id WHERE r.split = 'train' GROUP BY ALL) s
+         ON s.kind = vocab.kind AND s.term = vocab.term AND s.label = cls.label GROUP BY ALL),
+tot AS (SELECT label, sum(v) + count(*) AS z FROM sums GROUP BY label),
+ll AS (SELECT kind, term, sums.label, ln(v + 1.0) - ln(z) AS l FROM sums JOIN tot ON tot.label = sums.label),
+part AS (SELECT val.Id, ll.label, sum(val.v * ll.l) AS s FROM val JOIN ll ON ll.kind = val.kind AND ll.term = val.term GROUP BY ALL),
+sc AS (SELECT r.Id, r.label, p.label AS k, coalesce(part.s, 0.0) + p.lp AS s FROM r CROSS JOIN prior p
+       LEFT JOIN part ON part.Id = r.Id AND part.label = p.label WHERE r.split = 'test')
+SELECT Id, any_value(label) AS label, CAST(arg_max(k, s) AS INTEGER) AS prediction,
+       round(max(s) FILTER (WHERE k = 0), 4) AS log_score_0, round(max(s) FILTER (WHERE k = 1), 4) AS log_score_1,
+       round(max(s) FILTER (WHERE k = 2), 4) AS log_score_2
+FROM sc GROUP BY Id""", "review_text")
+
+
+@register("nb_relational", _BAYES_SQL, ("ML10",))
+def q_nb_relational(spark, sf_dir):
+    """Naive Bayes learned and applied as relations, over the test rows."""
+    from revlens.ml import bayes as NB
+
+    rows = NB.with_terms(prepared(spark, sf_dir))
+    train = rows.where(F.col("split") == "train")
+    vocab = NB.weighted_vocabulary(train)
+    got = NB.predict(rows.where(F.col("split") == "test"), *NB.fit(train, vocab))
+    return got.select("Id", "label", "prediction", *(F.round(f"log_score_{k}", 4).alias(f"log_score_{k}") for k in NB.LABELS))
+
+
 @register("rf_predictions", None, ("ML11",))
 def q_rf(spark, sf_dir):
     _, train, _, test = splits(spark, sf_dir)
@@ -248,21 +279,20 @@ def q_overfit(spark, sf_dir):
 
 @register("model_runs_history", None, ("ML21", "ML22", "SK06", "SK07", "SC10"))
 def q_model_runs(spark, sf_dir):
-    """The lifecycle over the tuning grid: each grid point is a retraining that is gated, saved and
-    recorded; the current model is loaded again and must be the promoted one."""
+    """The lifecycle over the tuning grid: each grid point is a retraining that is gated against the stored run log, saved and
+    stored; the current model is resolved from the log and loaded again."""
     fz, _ = featurised(spark, sf_dir)
     rows = prepared(spark, sf_dir).drop("split")
-    runs, base = spark.createDataFrame([], MODEL_RUNS), scratch_path(spark, "models")
+    log = RunLog(spark, scratch_path(spark, "run-log"))
     for it, reg in MO.PARAM_GRID:
-        runs, _ = LC.retrain_run(rows, fz, runs, base, f"lr_it{it}_reg{reg}", it, reg)
-        runs = runs.checkpoint(eager=True)
-    for best in LC.latest_model(runs).collect():  # one row, none below the sample gate
+        nightly(log, rows, fz, f"lr_it{it}_reg{reg}", f"lr_it{it}_reg{reg}", it, reg)
+    for best in log.current().collect():  # one row, none below the sample gate
         if LC.load_classifier(best.model_path).numClasses < 2:
             raise ValueError(f"{best.model_path} holds no classifier")
-    return LC.model_history(runs)
+    return LC.model_history(log.read())
 
 
-# ------------------------------------------- run table derived from the reviews
+# ------------------------------------------- stored run log, one run a year of reviews
 def _class(i, n):
     tp, wrong = f"c{i}{i}", " + ".join([f"c{i}{j}" for j in range(3) if j != i] + [f"c{j}{i}" for j in range(3) if j != i])
     return (f"CASE WHEN {tp} + {wrong} = 0 THEN 0.0 ELSE CAST(2 * {tp} AS DOUBLE) / (2 * {tp} + {wrong}) END AS f1_{n}",
@@ -270,26 +300,28 @@ def _class(i, n):
 
 
 _RUNS_SQL = with_fixtures(f"""
-WITH p AS (SELECT *, {label_of()} AS label, {index_of()} AS pred, strftime(processed_at, '%Y-%m') AS month FROM reviews),
-g AS (SELECT month, count(*) AS n, max(processed_at) AS start_time,
+WITH p AS (SELECT *, {label_of()} AS label, {index_of()} AS pred, year(processed_at) AS yr FROM reviews),
+g AS (SELECT yr, count(*) AS n, max(processed_at) AS start_time,
   {", ".join(f"count(*) FILTER (WHERE label = {i}) AS s{i}" for i in range(3))},
   {", ".join(f"count(*) FILTER (WHERE label = {i} AND pred = {j}) AS c{i}{j}" for i in range(3) for j in range(3))}
-  FROM p GROUP BY month),
+  FROM p GROUP BY yr),
 e AS (SELECT *, {", ".join(x for i, c in enumerate(("negative", "neutral", "positive")) for x in _class(i, c))},
   CAST(c00 + c11 + c22 AS DOUBLE) / n AS accuracy FROM g),
 w AS (SELECT *, (s0 * f1_negative + s1 * f1_neutral + s2 * f1_positive) / n AS f1 FROM e),
-b AS (SELECT *, max(f1) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM w),
-runs AS (SELECT 'run-' || month AS run_id, start_time, n AS n_samples, f1, accuracy, recall_negative, f1_negative, prev,
-  prev IS NULL OR f1 > prev AS promoted FROM b)
-""", "reviews")
+o AS (SELECT *, row_number() OVER (ORDER BY yr) AS rn FROM w),
+gate AS (SELECT rn, true AS promoted, CAST(NULL AS DOUBLE) AS prev, f1 AS best FROM o WHERE rn = 1
+         UNION ALL SELECT o.rn, o.f1 > gate.best + 0.015, gate.best, CASE WHEN o.f1 > gate.best + 0.015 THEN o.f1 ELSE gate.best END
+         FROM gate JOIN o ON o.rn = gate.rn + 1),
+runs AS (SELECT 'run-' || yr AS run_id, start_time, n AS n_samples, f1, accuracy, recall_negative, f1_negative, prev, promoted
+         FROM o JOIN gate USING (rn))
+""", "reviews").replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def model_runs_view(spark, sf_dir):
-    """A run table from the stored reviews: each month's predictions are one run, scored from its
-    confusion counts, promoted where its F1 beats every earlier one.  One row a month."""
+def yearly_scores(spark, sf_dir):
+    """One row a year of reviews: the scores of that year's predictions, from its confusion counts."""
     r = reviews(spark, sf_dir).select("processed_at", score_label("Score").alias("label"), sentiment_index("predicted_sentiment").alias("pred"))
     cells = {f"c{i}{j}": F.count_if((F.col("label") == i) & (F.col("pred") == j)) for i in range(3) for j in range(3)}
-    g = r.groupBy(F.date_format("processed_at", "yyyy-MM").alias("month")).agg(
+    g = r.groupBy(F.year("processed_at").alias("year")).agg(
         F.count(F.lit(1)).alias("n"), F.max("processed_at").alias("start_time"),
         *(F.count_if(F.col("label") == i).alias(f"s{i}") for i in range(3)), *(c.alias(k) for k, c in cells.items()))
     div = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
@@ -301,23 +333,25 @@ def model_runs_view(spark, sf_dir):
         f1.append(div(2 * c(f"c{i}{i}"), said + had))
         recall.append(div(c(f"c{i}{i}"), c(f"s{i}")))
     score = sum((c(f"s{i}") * f1[i] for i in range(1, 3)), c("s0") * f1[0]) / c("n")
-    e = g.select("*", score.alias("f1"), f1[0].alias("f1_negative"), recall[0].alias("recall_negative"),
-                 ((c("c00") + c("c11") + c("c22")).cast("double") / c("n")).alias("accuracy"))
-    before = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
-    e = e.withColumn("prev", F.max("f1").over(before))
-    promoted = c("prev").isNull() | (c("f1") > c("prev"))
-    return e.select(
-        F.concat(F.lit("run-"), "month").alias("run_id"), F.lit("monthly").alias("run_name"), "start_time",
-        F.create_map(F.lit("n_samples"), c("n").cast("string")).alias("params"),
-        F.create_map(*(x for k, v in (("f1_weighted", c("f1")), ("accuracy", c("accuracy")), ("recall_negative", c("recall_negative")),
-                                      ("f1_negative", c("f1_negative")), ("previous_f1", F.coalesce("prev", F.lit(0.0))))
-                       for x in (F.lit(k), v))).alias("metrics"),
-        F.create_map(F.lit("promoted"), F.when(promoted, "True").otherwise("False")).alias("tags"),
-        F.lit("models/final").alias("model_path"))
+    return g.select("year", "n", "start_time", score.alias("f1_weighted"), f1[0].alias("f1_negative"), recall[0].alias("recall_negative"),
+                    ((c("c00") + c("c11") + c("c22")).cast("double") / c("n")).alias("accuracy"))
+
+
+def stored_runs(spark, sf_dir) -> RunLog:
+    """A run log in storage: each year's predictions are a run that is gated against the runs stored before it."""
+    log = RunLog(spark, scratch_path(spark, "run-log"))
+    for r in yearly_scores(spark, sf_dir).orderBy("year").collect():  # one row a year
+        scores = {k: r[k] for k in ("f1_weighted", "accuracy", "recall_negative", "f1_negative")}
+        record_scores(log, f"run-{r.year}", "yearly", r.start_time, scores, {"n_samples": r.n})
+    return log
+
+
+def _wall_clock(runs):
+    return runs.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
 @register("model_history", _RUNS_SQL + """
-SELECT run_id, 'monthly' AS run_name, start_time, round(f1 * 100, 2) AS f1_weighted_pct, round(accuracy * 100, 2) AS accuracy_pct,
+SELECT run_id, 'yearly' AS run_name, start_time, round(f1 * 100, 2) AS f1_weighted_pct, round(accuracy * 100, 2) AS accuracy_pct,
        round(recall_negative * 100, 2) AS recall_negative_pct, round(f1_negative * 100, 2) AS f1_negative_pct,
        CASE WHEN prev > 0 THEN round(prev * 100, 2) END AS previous_f1_pct,
        CASE WHEN prev > 0 THEN round((f1 - prev) / prev * 100, 2) END AS improvement_pct, promoted,
@@ -325,19 +359,21 @@ SELECT run_id, 'monthly' AS run_name, start_time, round(f1 * 100, 2) AS f1_weigh
        'TRAINED' AS status, n_samples
 FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 20""", ("ML22", "TK08", "PJ17"))
 def q_model_history(spark, sf_dir):
-    return LC.model_history(model_runs_view(spark, sf_dir))
+    return _wall_clock(LC.model_history(stored_runs(spark, sf_dir).read()))
 
 
 @register("run_search", _RUNS_SQL + """
 SELECT run_id, start_time, f1 AS f1_weighted FROM runs WHERE promoted ORDER BY f1 DESC, run_id LIMIT 20""", ("SC09", "FL15"))
 def q_run_search(spark, sf_dir):
-    found = LC.run_search(model_runs_view(spark, sf_dir), order_by="f1_weighted")
-    return found.select("run_id", "start_time", F.col("metrics")["f1_weighted"].alias("f1_weighted"))
+    found = LC.run_search(stored_runs(spark, sf_dir).read(), order_by="f1_weighted")
+    return _wall_clock(found).select("run_id", "start_time", F.col("metrics")["f1_weighted"].alias("f1_weighted"))
 
 
 @register("current_model", _RUNS_SQL + """
-SELECT run_id, 'models/final' AS model_path, (SELECT max(f1) FROM runs WHERE promoted) AS best_promoted_f1
+SELECT run_id, 'models/' || run_id AS model_path, (SELECT max(f1) FROM runs WHERE promoted) AS best_promoted_f1
 FROM runs ORDER BY promoted DESC, start_time DESC, run_id DESC LIMIT 1""", ("TK07", "TK09"))
 def q_current_model(spark, sf_dir):
-    runs = model_runs_view(spark, sf_dir)
-    return LC.latest_model(runs).select("run_id", "model_path", LC.best_promoted_f1(runs).scalar().alias("best_promoted_f1"))
+    """Resolved from the stored log; the path is relative to it."""
+    log = stored_runs(spark, sf_dir)
+    runs = log.read()
+    return log.current().select("run_id", "model_path", LC.best_promoted_f1(runs).scalar().alias("best_promoted_f1"))

@@ -50,3 +50,24 @@ def test_threshold_override(spark):
     got = [r.adjusted_prediction for r in MO.apply_negative_threshold(df, 0.35).collect()]
     assert got == [0, 2]
     assert [r.adjusted_prediction for r in MO.apply_negative_threshold(df, None).collect()] == [2, 2]
+
+
+def test_relational_bayes_agrees_with_the_estimator_on_every_row(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from revlens.ml import bayes as NB
+
+    rows = _toy(spark)
+    train, test = rows.where("Id % 4 <> 0"), rows.where("Id % 4 = 0").unionByName(
+        spark.createDataFrame([(900, "unseen words only", 1), (901, "great great great awful", 2)], rows.schema))
+    fz = FE.feature_pipeline(min_df=2, min_doc_freq=2).fit(train)
+    model = MO.naive_bayes().fit(FE.with_label_index(fz.transform(train)))
+    want = {r.Id: (int(r.prediction), r.raw) for r in model.transform(FE.with_label_index(fz.transform(test))).select(
+        "Id", "prediction", vector_to_array("rawPrediction").alias("raw")).collect()}
+    seen = NB.with_terms(train)
+    vocab = NB.weighted_vocabulary(seen, 2)
+    got = NB.predict(NB.with_terms(test), *NB.fit(seen, vocab)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        label, raw = want[r.Id]
+        assert r.prediction == label and max(abs(r[f"log_score_{k}"] - raw[k]) for k in range(3)) < 1e-9
