@@ -1,20 +1,20 @@
 """Line deduplication with DataFrame functions only.
 
 Each line has a key (blanks stripped at both ends, A-Z lower-cased) and a 128-bit
-hash of it.  The hashes are range-partitioned by (hash, document) and sorted within
-partitions by (hash, document, position), so a hash that a third of all lines share
-spreads over many partitions.  The first occurrence of a hash in a document
-is streamed out of the sorted rows, and the first occurrences are counted per
+hash of it.  The hashes are range-partitioned by (hash, document), so a hash that a third of all lines share
+spreads over many partitions, and sorted within partitions by (hash, document, position).  A row number over that order, which needs no
+further shuffle, streams out the first occurrence of a hash in a document, and the first occurrences are counted per
 hash after a partial count in each task.  Hashes found in at least ``min_docs``
 documents lose all their lines.  The result holds no text: each document gets a
-compressed bitmap of the lines that stay, as an array of runs (first line, number of lines).
+run-length compressed bitmap of the lines that stay, as an array of runs (first line, number of lines).
 ``apply_bitmap`` cuts the text by it.
 
 Rows: a null or empty text is one empty line; keys shorter than ``min_chars`` never
 go.  Documents are counted by doc_id (rows that share a doc_id, also a null one,
 count once); each distinct (doc_id, text) has its own bitmap and repeated rows all get it.
 An empty table gives no rows.  Only the named id and text columns are read; the
-others stay as they are in ``drop_repeated_lines``.
+others stay as they are.  A column that is named like a result of ``drop_repeated_lines`` gives way to the result there;
+``with_kept_text`` keeps all columns of the input.
 """
 
 from __future__ import annotations
@@ -46,8 +46,9 @@ def keep_bitmaps(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     lines = lines.select("id", "text_key", "n_lines", "pos", F.unhex(F.md5("key")).alias("hash"))
     lines = materialize(spark, lines, "lines")
 
-    ordered = lines.select("hash", "id", "pos").repartitionByRange("hash", "id").sortWithinPartitions("hash", "id", "pos")
-    firsts = ordered.groupBy("hash", "id").agg(F.first("pos").alias("pos"))
+    in_order = Window.partitionBy("hash", "id").orderBy("pos")
+    ordered = lines.select("hash", "id", "pos").repartitionByRange("hash", "id")
+    firsts = ordered.withColumn("nth", F.row_number().over(in_order)).where(F.col("nth") == 1)
     repeated = firsts.groupBy("hash").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs).select("hash")
     repeated = materialize(spark, repeated, "repeated")  # a plain table, so that a skewed join with it can be split
 
@@ -68,18 +69,34 @@ def apply_bitmap(lines: Column, keep: Column) -> Column:
     return F.array_join(kept, "\n")
 
 
+def _cut(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int) -> DataFrame:
+    """``row`` (all columns of ``docs``), n_lines, n_dropped, kept_text."""
+    maps = keep_bitmaps(spark, docs, id_col, text_col, min_docs, min_chars).select("id", "text_key", "keep")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
+    rows = rows.withColumn("key", F.xxhash64(text))
+    got = rows.join(maps.hint("shuffle_hash"), F.col("row")[id_col].eqNullSafe(maps["id"]) & (F.col("key") == maps["text_key"]), "left")
+    split = F.split(text, "\n", -1)
+    left = F.aggregate("keep", F.lit(0), lambda n, r: n + r["lines"])
+    return got.select(
+        "row", F.size(split).cast("long").alias("n_lines"),
+        F.when(F.col("keep").isNull(), F.lit(0)).otherwise(F.size(split) - left).cast("long").alias("n_dropped"),
+        F.when(F.col("keep").isNull(), text).otherwise(apply_bitmap(split, F.col("keep"))).alias("kept_text"))
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """All columns of ``docs`` plus ``n_lines``, ``n_dropped`` and ``kept_text``."""
-    maps = keep_bitmaps(spark, docs, id_col, text_col, min_docs, min_chars).select(
-        F.col("id").alias("_ld_id"), F.col("text_key").alias("_ld_key"), F.col("keep").alias("_ld_keep"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumn("_ld_text_key", F.xxhash64(text))
-    same = rows[id_col].eqNullSafe(maps["_ld_id"]) & (rows["_ld_text_key"] == maps["_ld_key"])
-    got = rows.join(maps.hint("shuffle_hash"), same, "left")
-    split = F.split(text, "\n", -1)
-    left = F.aggregate("_ld_keep", F.lit(0), lambda n, r: n + r["lines"])
-    return got.select(
-        *[rows[c] for c in docs.columns], F.size(split).cast("long").alias("n_lines"),
-        F.when(F.col("_ld_keep").isNull(), F.lit(0)).otherwise(F.size(split) - left).cast("long").alias("n_dropped"),
-        F.when(F.col("_ld_keep").isNull(), text).otherwise(apply_bitmap(split, F.col("_ld_keep"))).alias("kept_text"))
+    own = ("n_lines", "n_dropped", "kept_text")
+    got = _cut(spark, docs, id_col, text_col, min_docs, min_chars)
+    return got.select(*(F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in own), *own)
+
+
+def with_kept_text(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars",
+                   min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+    """The columns of ``docs``, the text without its repeated lines; a column ``length_col``, if there is one, follows the text."""
+    got = _cut(spark, docs, id_col, text_col, min_docs, min_chars)
+    fresh = {text_col: F.col("kept_text")}
+    if length_col in docs.columns:
+        fresh[length_col] = F.char_length("kept_text").cast(docs.schema[length_col].dataType)
+    return got.select(*(fresh.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
