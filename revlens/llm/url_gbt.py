@@ -3,7 +3,8 @@
 The labelled URLs are those that a rule judges.  Features: lengths of url, host and path, host labels, path
 depth, digit ratios, hyphens, letter entropy of the host, query parameters, fragment, scheme and the share of
 blocked labelled URLs under the host's last label and last two labels (smoothed).  The trees are MLlib's; they are fitted
-on a bounded sample (``max_train_rows``, by a hash of the url) and applied to every url without a rule.
+on the distinct labelled urls, each weighted by its rows, at most ``max_train_rows`` of them (those of the smallest hashes; if these are all of
+one kind, a twentieth more of the other), and applied to every url without a rule.  So a url that holds a third of all rows is one row of the fit.
 
 Rows: a null url, or one without ``://``, has empty host and path and no rule; it is judged by the trees like any other.
 Equal urls get equal verdicts.  Without labelled URLs of both kinds every verdict is the one kind there is (allow without any).
@@ -74,6 +75,19 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
     }
 
 
+def _fit_rows(spark: SparkSession, labelled: DataFrame, columns: list[str], most: int) -> DataFrame:
+    """Distinct labelled urls with their features, label (1 for block) and weight (rows): at most ``most`` and a twentieth, of both kinds."""
+    urls = labelled.groupBy("url").agg(F.count(F.lit(1)).cast("double").alias("weight"), F.first("ruled").alias("ruled"),
+                                       *(F.first(c).alias(c) for c in columns))
+    urls = urls.select("*", (F.col("ruled") == "block").cast("double").alias("label"), F.xxhash64("url", F.lit(3)).alias("draw"))
+    urls = materialize(spark, urls, "url-labels")
+    drawn = materialize(spark, urls.orderBy("draw", "url").limit(most), "url-sample")
+    kinds = {r["label"] for r in drawn.select("label").distinct().collect()}
+    for missing in {0.0, 1.0} - kinds:
+        drawn = drawn.unionByName(urls.where(F.col("label") == missing).orderBy("draw", "url").limit(max(1, most // 20)))
+    return drawn
+
+
 def judge_urls(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,
                trees: int = 20, depth: int = 4, rate: float = 0.2, max_train_rows: int = 20_000, seed: int = 11) -> DataFrame:
     """One row per row of ``pages``: id, host, path, rule, verdict, block_score (null where a rule decides)."""
@@ -101,10 +115,9 @@ def judge_urls(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", u
     columns = [f"f_{k}" for k in (*features, "suffix1", "suffix2")]
     full = materialize(spark, full.na.fill(mean, ["f_suffix1", "f_suffix2"]), "url-features")
     ready = VectorAssembler(inputCols=columns, outputCol="features").transform(full)
-    fit = ready.where("ruled is not null").select("features", (F.col("ruled") == "block").cast("double").alias("label"), "url")
-    share = min(1.0, max_train_rows / n)
-    fit = fit.where(F.pmod(F.xxhash64("url", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * share)).select("features", "label")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, maxBins=32, seed=seed, cacheNodeIds=False).fit(fit)
+    fit = _fit_rows(spark, full.where("ruled is not null"), columns, max_train_rows)
+    fit = VectorAssembler(inputCols=columns, outputCol="features").transform(fit).select("features", "label", "weight")
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, maxBins=32, seed=seed, cacheNodeIds=False, weightCol="weight").fit(fit)
     scored = model.transform(ready).withColumn("block_score", vector_to_array("probability")[1])
     by_trees = F.when(F.col("block_score") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("ruled", by_trees).alias("verdict"),
