@@ -7,14 +7,17 @@ ascends it instead.  The prior is the share of label 1 among the labels that may
 or ``prior`` if given.
 
 Features are counts and ratios of a text (case, digits, marks, blanks, word lengths, repeated
-words and lines), cut into quantile bins of the unlabelled sample; the model is a logistic regression over the bins.
-Spark computes the features of the bounded samples (``max_rows`` positives and as many unlabelled rows,
-about 200 bytes each); the fit itself works on these two small matrices.
+words and lines), cut into quantile bins; the model is a logistic regression over the bins.
+
+Everything is learned from all documents.  One pass writes the features of every document (80 bytes each); the bin edges are
+quantiles that Spark aggregates over all of them; the binned rows are written once, in blocks.  Each step of the fit is a
+Spark job that sums the losses and gradients of the positive and the unlabelled part per task and then by coordinate, and only these
+sums (some hundred numbers) reach the driver, which moves the weights (Adam).
 
 Rows: a null text is empty; an empty text has features like any other.  Labels that are null, or of a null id, are not
-learned from; if an id has several labels, the largest counts.  Without positives or unlabelled rows every score is
+learned from; if an id has several labels, the largest counts, and all rows of a positive id are positives.  Without positives every score is
 the prior (0.5 without labels).  Null ids, rows that share an id and repeated rows are scored each by itself.  An empty
-table gives no rows.  Only the named columns are read.
+table gives no rows.  Only the named columns are read, and ``keep_quality`` returns all columns as they are.
 """
 
 from __future__ import annotations
@@ -26,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm.common import text_key
+from revlens.llm.common import materialize, text_key
 from revlens.llm.textops import SPACED, text_chunks, words
-from revlens.llm.toxicity import sample_labels
 
 FEATURES = 20
+_BLOCK = 8192  # binned rows in a record
 
 
 def text_features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -77,14 +80,17 @@ def _distinct(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def _featured(rows: DataFrame) -> DataFrame:
+    """``(id, x)``: the features of every row's text."""
+    kind = rows.schema["id"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in text_chunks(batch.column("text")):
                 x = text_features(data, offs).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in ("trusted", "drawn")),
-                                                  pa.array([r.tobytes() for r in x], pa.binary())], names=["trusted", "drawn", "x"])
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * FEATURES), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), flat], names=["id", "x"])
 
-    return rows.mapInArrow(run, "trusted boolean, drawn boolean, x binary")
+    return rows.select("id", "text").mapInArrow(run, f"id {kind}, x array<float>")
 
 
 def _bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
@@ -93,78 +99,142 @@ def _bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, f], "right") + f * width for f, e in enumerate(edges)], axis=1)
 
 
-def nnpu_fit(p: np.ndarray, u: np.ndarray, prior: float, size: int, epochs: int = 120, batch: int = 2048, rate: float = 0.05,
-             decay: float = 1e-4, seed: int = 7) -> np.ndarray:
-    """Weights (bias last) by mini-batch Adam on the non-negative risk with the logistic loss; rows hold bin numbers."""
-    rng = np.random.default_rng(seed)
-    w, m, v, t = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1), 0
+def bin_edges(featured: DataFrame, bins: int) -> list[np.ndarray]:
+    """Quantiles of each feature over all rows (``percentile_approx``, rank error a ten-thousandth)."""
+    at = [i / bins for i in range(1, bins)]
+    row = featured.agg(*(F.percentile_approx(F.col("x")[f], at, 10_000).alias(f"f{f}") for f in range(FEATURES))).first()
+    return [np.unique(np.array(row[f"f{f}"] or [], np.float32)) for f in range(FEATURES)]
+
+
+def _binned(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """Blocks ``(rows, bins, trusted)`` of the rows ``(x, trusted)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, _BLOCK):
+                part = batch.slice(i, _BLOCK)
+                x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
+                trusted = np.packbits(part.column("trusted").to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([pa.array([len(x)]), pa.array([_bins(x, edges).astype(np.uint16).tobytes()]),
+                                                  pa.array([trusted.tobytes()])], names=["rows", "bins", "trusted"])
+
+    return rows.select("x", "trusted").mapInArrow(run, "rows long, bins binary, trusted binary")
+
+
+def block_sums(bins: np.ndarray, trusted: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums over rows of bin numbers: positives, loss as negative of the positives and of all rows, then three gradients
+    (positives as positive, positives as negative, all as negative)."""
+    z = w[bins].sum(axis=1) + w[-1]
+    p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+    def grad(g, own):
+        out = np.bincount(own.ravel(), np.repeat(g, own.shape[1]), len(w))
+        out[-1] = g.sum()
+        return out
+
+    loss = np.logaddexp(0, z)
+    return np.concatenate([[trusted.sum(), loss[trusted].sum(), loss.sum()], grad(p[trusted] - 1, bins[trusted]),
+                           grad(p[trusted], bins[trusted]), grad(p, bins)])
+
+
+def _summed(blocks: DataFrame, w: np.ndarray) -> np.ndarray:
+    """``block_sums`` over all blocks: per task, then by place in Spark."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(3 + 3 * len(w))
+        for batch in batches:
+            for n, bins, trusted in zip(*(batch.column(c) for c in ("rows", "bins", "trusted"))):
+                rows = np.frombuffer(bins.as_buffer(), np.uint16).reshape(-1, FEATURES).astype(np.int64)
+                mark = np.unpackbits(np.frombuffer(trusted.as_buffer(), np.uint8), count=n.as_py()).astype(bool)
+                total += block_sums(rows, mark, w)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "part"])
+
+    got = blocks.mapInArrow(run, "at int, part double").groupBy("at").agg(F.sum("part").alias("part")).toArrow()
+    out = np.zeros(3 + 3 * len(w))
+    out[got["at"].to_numpy()] = got["part"].to_numpy()
+    return out
+
+
+def risk_gradient(sums: np.ndarray, rows: int, w: np.ndarray, prior: float, decay: float) -> np.ndarray:
+    """Gradient of the non-negative risk from ``block_sums``; where the negative class's risk is below 0, its ascent."""
+    n, lp, lu = sums[:3]
+    plus, minus_p, minus_u = (sums[3 + i * len(w):3 + (i + 1) * len(w)] for i in range(3))
+    back = minus_u / rows - prior * minus_p / n
+    grad = prior * plus / n + back if lu / rows - prior * lp / n >= 0 else -back
+    grad[:-1] += decay * w[:-1]
+    return grad
+
+
+def nnpu_fit(blocks: DataFrame, rows: int, prior: float, size: int, steps: int = 60, rate: float = 0.2, decay: float = 1e-4) -> np.ndarray:
+    """Weights (bias last) by Adam on the non-negative risk of all rows with the logistic loss."""
+    w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     w[-1] = np.log(prior / (1 - prior))
-    steps = max(1, -(-max(len(p), len(u)) // batch))
-
-    def part(rows, sign):
-        """Mean loss of label ``sign`` over rows, and its gradient."""
-        z = sign * (w[rows].sum(axis=1) + w[-1])
-        g = -sign / (1 + np.exp(np.clip(z, -50, 50))) / len(rows)
-        grad = np.bincount(rows.ravel(), np.repeat(g, rows.shape[1]), size + 1)
-        grad[-1] = g.sum()
-        return np.logaddexp(0, -z).mean(), grad
-
-    for _ in range(epochs):
-        pi, ui = rng.permutation(len(p)), rng.permutation(len(u))
-        for s in range(steps):
-            pb = p[np.take(pi, np.arange(s * len(p) // steps, max(s * len(p) // steps + 1, (s + 1) * len(p) // steps)), mode="wrap")]
-            ub = u[np.take(ui, np.arange(s * len(u) // steps, max(s * len(u) // steps + 1, (s + 1) * len(u) // steps)), mode="wrap")]
-            _, plus = part(pb, 1)
-            lp, minus_p = part(pb, -1)
-            lu, minus_u = part(ub, -1)
-            negative = lu - prior * lp
-            grad = prior * plus + (minus_u - prior * minus_p) if negative >= 0 else -(minus_u - prior * minus_p)
-            grad[:-1] += decay * w[:-1]
-            t += 1
-            m = 0.9 * m + 0.1 * grad
-            v = 0.999 * v + 0.001 * grad * grad
-            w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    for t in range(1, steps + 1):
+        grad = risk_gradient(_summed(blocks, w), rows, w, prior, decay)
+        m = 0.9 * m + 0.1 * grad
+        v = 0.999 * v + 0.001 * grad * grad
+        now = rate if t < 0.7 * steps else 0.3 * rate
+        w = w - now * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w
 
 
-def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality",
-                  id_col: str = "doc_id", text_col: str = "text", prior: float | None = None, bins: int = 16,
-                  max_rows: int = 20_000, keyed: bool = False) -> DataFrame:
-    """One row per row of ``docs``: id, score (0 to 1), and the row's ``text_key`` if ``keyed``.
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    ``train`` is a condition on the id column of ``labels``.
-    """
-    kind = docs.schema[id_col].dataType.simpleString()
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    read = src.withColumn("text_key", text_key("text")) if keyed else src
+
+def fit_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality", id_col: str = "doc_id",
+                text_col: str = "text", prior: float | None = None, bins: int = 16) -> tuple[list[np.ndarray], np.ndarray]:
+    """The model: bin edges and weights (bias last).  ``train`` is a condition on the id column of ``labels``."""
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train)
     n, ones = usable.agg(F.count("*"), F.sum(F.col(label_col).cast("int"))).first()
     if prior is None:
         prior = min(0.99, max(0.01, ((ones or 0) + 0.5) / (n + 1)))
-    trusted = sample_labels(usable.where(F.col(label_col) == 1), id_col, label_col, F.lit(True), max_rows)
-    rows = src.select("id").where("id is not null").count()
-    share = min(1.0, max_rows / max(1, rows))
-    drawn = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000)) < int(1_000_000 * share)
-    marked = src.join(F.broadcast(trusted), "id", "left")  # bounded by max_rows
-    marked = marked.select("text", F.col("y").isNotNull().alias("trusted"), (F.col("id").isNotNull() & drawn).alias("drawn"))
-    got = _featured(marked.where("trusted or drawn")).toPandas()
-    p, u = (np.frombuffer(b"".join(got["x"][got[c]]), np.float32).reshape(-1, FEATURES) for c in ("trusted", "drawn"))
-    if len(p) and len(u):
-        edges = [np.unique(np.quantile(u[:, f], np.arange(1, bins) / bins)) for f in range(FEATURES)]
-        size = FEATURES * (max(len(e) for e in edges) + 1)
-        weights = nnpu_fit(_bins(p, edges), _bins(u, edges), prior, size)
-    else:
-        edges, weights = [np.zeros(0)] * FEATURES, np.zeros(FEATURES + 1)
-        weights[-1] = np.log(prior / (1 - prior))
-    shared = spark.sparkContext.broadcast((edges, weights))
+    featured = materialize(spark, _featured(_rows(docs, id_col, text_col)), "quality-features")
+    trusted = usable.where(F.col(label_col) == 1).select(F.col(id_col).alias("id"), F.lit(True).alias("trusted")).distinct()
+    marked = featured.where("id is not null").join(trusted, "id", "left").select("x", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    marked = marked.unionByName(featured.where("id is null").select("x", F.lit(False).alias("trusted")))
+    edges = bin_edges(featured, bins)
+    size = FEATURES * (max(len(e) for e in edges) + 1)
+    blocks = materialize(spark, _binned(marked, edges), "quality-bins")
+    rows = blocks.agg(F.sum("rows")).first()[0] or 0
+    nothing = np.zeros(size + 1)
+    nothing[-1] = np.log(prior / (1 - prior))
+    learn = bool(rows) and _summed(blocks, nothing)[0] > 0
+    return edges, nnpu_fit(blocks, rows, prior, size) if learn else nothing
+
+
+def _scores(texts, edges: list[np.ndarray], w: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first row, row after last, scores) of slices of a text column."""
+    for i, j, data, offs in text_chunks(texts):
+        z = w[_bins(text_features(data, offs).astype(np.float32), edges)].sum(axis=1) + w[-1]
+        yield i, j, 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality",
+                  id_col: str = "doc_id", text_col: str = "text", prior: float | None = None, bins: int = 16, keyed: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, score (0 to 1), and the row's ``text_key`` if ``keyed``."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    model = spark.sparkContext.broadcast(fit_quality(spark, docs, labels, train, label_col, id_col, text_col, prior, bins))
+    src = _rows(docs, id_col, text_col)
+    read = src.withColumn("text_key", text_key("text")) if keyed else src
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges, w = shared.value
         for batch in batches:
-            for i, j, data, offs in text_chunks(batch.column("text")):
-                z = w[_bins(text_features(data, offs).astype(np.float32), edges)].sum(axis=1) + w[-1]
+            for i, j, score in _scores(batch.column("text"), *model.value):
                 keys = [batch.column("text_key").slice(i, j - i)] if keyed else []
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))), *keys],
-                                                 names=["id", "score", "text_key"][:2 + keyed])
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(score), *keys], names=["id", "score", "text_key"][:2 + keyed])
 
     return read.mapInArrow(run, f"id {kind}, score double" + ", text_key long" * keyed).withColumnRenamed("id", id_col)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, least: float, label_col: str = "quality",
+                 id_col: str = "doc_id", text_col: str = "text", prior: float | None = None, bins: int = 16) -> DataFrame:
+    """The rows of ``docs``, all columns, whose own score is ``least`` or more: filtered where they are read, no row is shuffled."""
+    model = spark.sparkContext.broadcast(fit_quality(spark, docs, labels, train, label_col, id_col, text_col, prior, bins))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, score in _scores(batch.column(place), *model.value):
+                yield batch.slice(i, j - i).filter(pa.array(score >= least))
+
+    return docs.mapInArrow(run, docs.schema)
