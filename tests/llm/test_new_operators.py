@@ -262,3 +262,68 @@ def test_search_of_nothing(spark):
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert norm_buckets.ranked_search(spark, docs, items).isEmpty()
     assert norm_buckets.ranked_search(spark, spark.createDataFrame([(1, "a")], docs.schema), items.limit(0)).isEmpty()
+
+
+# ------------------------------------------------- earlier operators, mended
+def test_quality_gradient_is_that_of_all_rows(spark):
+    import numpy as np
+
+    from revlens.llm import pu_quality as PU
+
+    rng = np.random.default_rng(1)
+    texts = [" ".join(rng.choice(["good", "Text", "!!", "12", "a.b"], rng.integers(0, 60))) for _ in range(300)]
+    rows = [(i % 250 if i % 11 else None, t) for i, t in enumerate(texts)]
+    featured = PU._featured(spark.createDataFrame(rows, "id long, text string").repartition(5))
+    edges = PU.bin_edges(featured, 8)
+    marked = featured.select("x", (F.coalesce(F.col("id"), F.lit(0)) % 3 == 1).alias("trusted"))
+    blocks = PU._binned(marked, edges)
+    size = PU.FEATURES * (max(len(e) for e in edges) + 1)
+    w = rng.normal(0, 0.3, size + 1)
+    got = PU.risk_gradient(PU._summed(blocks, w), 300, w, 0.6, 0.0)
+
+    local = marked.collect()
+    bins = PU._bins(np.array([r.x for r in local], np.float32), edges)
+    pos = np.array([r.trusted for r in local])
+    one = np.zeros((300, size + 1))
+    one[np.arange(300)[:, None], bins] = 1
+    one[:, -1] = 1
+
+    def risk(w, sign, own):
+        return np.logaddexp(0, -sign * (one[own] @ w)).mean()
+
+    def total(w):
+        back = risk(w, -1, np.ones(300, bool)) - 0.6 * risk(w, -1, pos)
+        return 0.6 * risk(w, 1, pos) + back if back >= 0 else -back
+
+    for at in (0, 5, int(bins[0, 3]), size):
+        step = np.zeros(size + 1)
+        step[at] = 1e-6
+        assert abs((total(w + step) - total(w - step)) / 2e-6 - got[at]) < 1e-6
+
+
+def test_line_plan_keeps_the_sort_and_the_first_occurrence(spark):
+    from revlens.llm import line_dedup
+
+    docs = spark.createDataFrame([(i, f"same\nown {i}\nsame") for i in range(12)], "doc_id long, text string")
+    plans = []
+    real = line_dedup.materialize
+    try:
+        line_dedup.materialize = lambda s, df, tag: (plans.append((tag, df._jdf.queryExecution().executedPlan().toString())), real(s, df, tag))[1]
+        got = line_dedup.drop_repeated_lines(spark, docs).collect()
+    finally:
+        line_dedup.materialize = real
+    plan = dict(plans)["repeated"]
+    assert "Window" in plan and "row_number" in plan and "Sort [hash" in plan and plan.count("rangepartitioning(hash") == 1
+    assert all(r.kept_text == f"own {r.doc_id}" and r.n_dropped == 2 for r in got)
+
+
+def test_urls_that_repeat_or_are_of_one_kind(spark):
+    from revlens.llm import url_gbt
+
+    two = spark.range(6000).select(F.col("id").alias("page_id"), F.when(F.col("id") % 2 == 0, "http://a.org/x").otherwise("http://b.com/de/y").alias("url"))
+    more = spark.createDataFrame([(-1, "http://c.net/" + "z" * 20_000), (-2, None)], "page_id long, url string")
+    got = url_gbt.judge_urls(spark, two.unionByName(more), trees=2, max_train_rows=1)
+    verdict = {(r.host, r.verdict) for r in got.select("host", "verdict").distinct().collect()}
+    assert {("a.org", "allow"), ("b.com", "block")} <= verdict and got.count() == 6002
+    one = url_gbt.judge_urls(spark, two.where("page_id % 2 = 0").unionByName(more), trees=2).collect()
+    assert {r.verdict for r in one} == {"allow"}
