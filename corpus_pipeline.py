@@ -17,10 +17,13 @@ from revlens.llm import line_dedup, lsh_forest, packing, pu_quality, winnow
 from revlens.llm.common import id_crc, materialize, read_table, text_key
 
 
-def _keep(docs: DataFrame, judged: DataFrame, keep) -> DataFrame:
-    """Rows of ``docs`` whose id and text have a verdict to stay; a null id is matched like any other."""
-    own = judged.where(keep).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(own, docs["doc_id"].eqNullSafe(own["_id"]) & (text_key() == own["_key"]), "left_semi")
+def _without(spark: SparkSession, docs: DataFrame, judged: DataFrame, gone) -> DataFrame:
+    """Rows of ``docs`` but those whose id and text have a verdict to go; a null id is matched like any other.
+
+    The keys that go are written first: Spark then knows their size and broadcasts them only if they are few."""
+    keys = judged.where(gone).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    keys = materialize(spark, keys, "gone")
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["_id"]) & (text_key() == keys["_key"]), "left_anti")
 
 
 def _one_of_repeated(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -36,28 +39,25 @@ def _one_of_repeated(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.3 or more stay."""
-    got = pu_quality.score_quality(spark, docs, read_table(spark, sf_dir, "labels"), id_crc() % 5 != 0, keyed=True)
-    return _keep(docs, got, F.col("score") >= 0.3)
+    """Documents scored 0.3 or more stay; each row by its own score, where it is read."""
+    return pu_quality.keep_quality(spark, docs, read_table(spark, sf_dir, "labels"), id_crc() % 5 != 0, 0.3)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten or more documents go; the other columns stay, ``n_chars`` follows the text."""
-    got = line_dedup.drop_repeated_lines(spark, docs)
-    fresh = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)}
-    return got.select(*(fresh.get(c, F.col(c)).alias(c) for c in docs.columns))
+    """Lines found in ten or more documents go; the other columns stay, ``n_chars`` (if there is one) follows the text."""
+    return line_dedup.with_kept_text(spark, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group stays."""
-    kept = _keep(docs, lsh_forest.near_duplicates(spark, docs, keyed=True), "kept")
+    kept = _without(spark, docs, lsh_forest.near_duplicates(spark, docs.select("doc_id", "text"), keyed=True), ~F.col("kept"))
     return _one_of_repeated(spark, kept)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
-    got = winnow.decontaminate(spark, docs, read_table(spark, sf_dir, "benchmark"), keyed=True)
-    return _keep(docs, got, ~winnow.contaminated())
+    got = winnow.decontaminate(spark, docs.select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"), keyed=True)
+    return _without(spark, docs, got, winnow.contaminated())
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
