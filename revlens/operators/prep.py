@@ -119,3 +119,25 @@ def union_splits(*parts: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def stratified_sample_exact(df: DataFrame, label: str, key: str, percent: int, prefix: int = 3) -> DataFrame:
+    """Exactly ``floor(n * percent / 100)`` rows of each class: those of the smallest ``(md5(key), key)``.
+
+    A histogram of the hash's first ``prefix`` hex digits per class (at most ``16 ** prefix`` rows a class) says which hash ranges are
+    in whole and which one holds the threshold; only the rows of that one range are ranked, so no window spans a class."""
+    from pyspark.sql import Window
+
+    h = F.md5(F.col(key).cast("string"))
+    rows = df.withColumn("_hash", h).withColumn("_range", F.substring("_hash", 1, prefix))
+    hist = rows.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(label)
+    before = F.sum("_n").over(own.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    quota = F.floor(F.sum("_n").over(own) * percent / 100)
+    hist = hist.select(F.col(label).alias("_label"), F.col("_range").alias("_r"), "_n", (quota - F.coalesce(before, F.lit(0))).alias("_left"))
+    met = rows.join(hist.where("_left > 0"), rows[label].eqNullSafe(F.col("_label")) & (F.col("_range") == F.col("_r")))
+    whole = met.where(F.col("_left") >= F.col("_n"))
+    edge = met.where(F.col("_left") < F.col("_n"))
+    rank = F.row_number().over(Window.partitionBy(label, "_range").orderBy("_hash", key))
+    edge = edge.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_left"))
+    return whole.select(*df.columns).unionByName(edge.select(*df.columns))

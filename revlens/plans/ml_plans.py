@@ -191,6 +191,12 @@ def q_tuning(spark, sf_dir):
     return MO.tune(train, val)
 
 
+@register("cross_validation", None, ("ML13",))
+def q_cross_validation(spark, sf_dir):
+    """The grid over three hash folds of the training part."""
+    return MO.cross_validate(splits(spark, sf_dir)[1])
+
+
 @register("loss_history", None, ("ML14",))
 def q_loss(spark, sf_dir):
     """Objective per iteration of the final refit."""

@@ -197,6 +197,16 @@ def q_split(spark, sf_dir):
     return PR.assign_split(r)
 
 
+@register("stratified_sample", with_fixtures(
+    f"""
+SELECT Id, label FROM (
+  SELECT Id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(Id AS VARCHAR)), Id) AS rn, count(*) OVER (PARTITION BY label) AS n
+  FROM (SELECT Id, {label_of()} AS label FROM reviews)) WHERE rn <= floor(n * 20 / 100)""", "reviews"), ("SO04", "SO06"))
+def q_stratified_sample(spark, sf_dir):
+    """A fifth of each class, exact in size and the same at every partitioning."""
+    return PR.stratified_sample_exact(reviews(spark, sf_dir).select("Id", L.score_label("Score").alias("label")), "label", "Id", 20)
+
+
 @register("test_split_rows", with_fixtures(
     f"SELECT Id, {label_of()} AS label, Score FROM reviews WHERE {split_of()} = 'test'", "reviews"), ("FL17",))
 def q_test_rows(spark, sf_dir):

@@ -129,3 +129,38 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM ev
 def q_event_props(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     return ev.select("event_id", F.from_json("props", "k INT").alias("p")).select("event_id", "p.k")
+
+
+@register("distinct_sketches", with_fixtures("""
+SELECT count(DISTINCT ProductId) AS exact_products, count(DISTINCT UserId) AS exact_users, true AS products_in_bound, true AS users_in_bound,
+       true AS batches_agree FROM reviews""", "reviews"), ("AG12",))
+def q_distinct_sketches(spark, sf_dir):
+    """Distinct products and reviewers from one sketch a month, merged: within 5 % (three standard errors) of the exact counts, and
+    within 3.3 % (two) of what another cut of the rows into batches gives (the estimator depends on the order of merging, the bound doesn't)."""
+    from revlens.operators import sketches as SK
+
+    r = reviews(spark, sf_dir).select("ProductId", "UserId", F.date_format("processed_at", "yyyy-MM").alias("month"))
+    names = {"products": "ProductId", "users": "UserId"}
+    months = SK.distinct_estimates(SK.batch_summaries(r, "month", names), list(names))
+    halves = SK.distinct_estimates(SK.batch_summaries(r.withColumn("half", F.pmod(F.xxhash64("UserId"), F.lit(2))), "half", names), list(names))
+    exact = r.agg(F.count_distinct("ProductId").alias("exact_products"), F.count_distinct("UserId").alias("exact_users"))
+    got = exact.crossJoin(F.broadcast(months)).crossJoin(F.broadcast(halves.toDF("p2", "u2")))  # one row each
+    near = lambda a, b, share=0.05: F.abs(F.col(a) - F.col(b)) <= F.ceil(share * F.col(b))
+    return got.select("exact_products", "exact_users", near("products", "exact_products").alias("products_in_bound"),
+                      near("users", "exact_users").alias("users_in_bound"),
+                      (near("products", "p2", 0.033) & near("users", "u2", 0.033)).alias("batches_agree"))
+
+
+@register("length_quantile_sketches", with_fixtures("""
+SELECT label, CAST(rk AS DOUBLE) AS rank, count(*) AS n, true AS in_bound
+FROM (SELECT CASE WHEN Score <= 2 THEN 0 WHEN Score = 3 THEN 1 ELSE 2 END AS label FROM reviews), (VALUES (0.05), (0.25), (0.5), (0.75), (0.95), (0.99)) q(rk)
+GROUP BY label, rk""", "reviews"), ("AG06",))
+def q_length_quantiles(spark, sf_dir):
+    """Quantiles of the unclipped text length per class from one sketch per month and class, merged; each estimate's true rank
+    lies within 3 % of the asked one."""
+    from revlens.operators import sketches as SK
+
+    r = reviews(spark, sf_dir).select(score_label("Score").alias("label"), F.length("Text").alias("length"), F.date_format("processed_at", "yyyy-MM").alias("month"))
+    batches = r.groupBy("month", "label").agg(F.kll_sketch_agg_bigint(F.col("length").cast("long"), F.lit(SK.KLL_K)).alias("kll"))
+    estimates = SK.merged_quantiles(batches, ["label"], (0.05, 0.25, 0.5, 0.75, 0.95, 0.99))
+    return SK.rank_errors(r, "length", estimates, ["label"]).select("label", "rank", "n", (F.col("rank_error") <= 0.03).alias("in_bound"))
