@@ -19,16 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source_version(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
-    """What the files of these tables are now: (bytes, newest change, hash of the listing) a table.
-
-    Read from the listing alone (no file is opened), as one aggregate, so that a fitted model kept
-    for an application is never used for other files than those it was fitted on."""
-    got = []
-    for n in names:
-        files = spark.read.format("binaryFile").load(table_path(sf_dir, n))
-        row = files.agg(F.sum("length"), F.max("modificationTime"), F.bit_xor(F.xxhash64("path", "modificationTime", "length"))).collect()[0]
-        got.append((n, *row))
-    return tuple(got)
+    """What the files of these tables are now: (files, bytes, newest change, hash of the listing).
+
+    Read from the listing alone (no file is opened), as one aggregate over all of them, so that a fitted model or a published table kept
+    for an application is never used for other files than those it was made from."""
+    files = spark.read.format("binaryFile").load([table_path(sf_dir, n) for n in names])
+    listing = F.bit_xor(F.xxhash64("path", "modificationTime", "length"))
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"), listing).collect()[0])
 
 
 def read_review_csv(spark: SparkSession, path: str, schema=RAW_REVIEW) -> DataFrame:
