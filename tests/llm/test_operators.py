@@ -92,6 +92,29 @@ def test_exact_duplicates(spark, docs, empty, bits):
     assert exact_dedup.exact_duplicates(spark, empty).count() == 0
 
 
+def test_exact_duplicates_owners_over_batches_and_hot_parts(spark):
+    """Chains and answers over batch ends, a hot key in several parts, repeated ids; a row without index entry is an error."""
+    rows = [(i if i % 9 else None, "hot" if i % 3 else f"t{i % 50}") for i in range(3000)] + [(77, "hot")] * 5
+    want = []
+    for t in {t for _, t in rows}:
+        ids = [i for i, u in rows if u == t]
+        keep = max(i for i in ids if i is not None)
+        want += [(i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        for bits in (64, 3):
+            got = [tuple(r) for r in exact_dedup.exact_duplicates(spark, frame, key_bits=bits, bucket_keys=4).collect()]
+            assert sorted(got, key=repr) == sorted(want, key=repr)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    lone = spark.createDataFrame([(5, 1, None, None, None, 3), (6, 2, "x", None, 9, None)],
+                                 "key long, n long, text_sha256 string, x string, id long, top long")
+    with pytest.raises(Exception, match="not in the index"):
+        exact_dedup._answers(lone.coalesce(1).sortWithinPartitions("key"), "bigint").collect()
+
+
 def test_directory_splits_and_doubles():
     depth, slots = exact_dedup.build_directory({0: 5, 1: 1, 6: 1}, 3, 2)
     assert depth == 3 and slots == [0, 1, 2, 2, 4, 4, 4, 4]
