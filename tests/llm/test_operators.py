@@ -1,8 +1,10 @@
 """Training-data operators against brute force, exact round trips and edge rows."""
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -318,6 +320,48 @@ def test_lm_base_score_and_counts(spark, docs, empty):
     assert interpolation.score_documents(spark, empty, id_crc() % 7 != 2, F.lit(True)).count() == 0
 
 
+def test_lm_interpolated_score_equals_token_by_token_model(spark):
+    """The mixture written out token by token: EM over the deleted part with the counts of the rest, then all training counts."""
+    rows = [(i, text_of(600 + i, 30 + i % 40) + (f" rare{i} end" if i % 3 else " end rare")) for i in range(120)] + [(500, None), (501, "unseen only")]
+    crc = {i: zlib.crc32(str(i).encode()) for i, _ in rows}
+    toks = {i: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), None] for i, t in rows}
+    train = [i for i, _ in rows if crc[i] % 7 != 2]
+    deleted = [i for i in train if crc[i] // 7 % 4 == 0]
+    assert 5 < len(deleted) < len(train) < len(rows)
+
+    def counts(ids):
+        one, two = Counter(), Counter()
+        for i in ids:
+            one.update(toks[i])
+            two.update(zip([None, *toks[i][:-1]], toks[i]))
+        return one, two
+
+    one, two = counts(train)
+    rest = counts(i for i in train if i not in deleted)
+    n, types = sum(one.values()), len(one)
+
+    def estimates(ids, one, two, n):
+        for i in ids:
+            for v, w in zip([None, *toks[i][:-1]], toks[i]):
+                yield min(one[v].bit_length(), interpolation.BUCKETS - 1), (two[v, w] / one[v] if one[v] else 0.0, one[w] / n, 1 / (types + 1))
+
+    held = list(estimates(deleted, *rest, sum(rest[0].values())))
+    mix = {b: (0.0, 0.5, 0.5) if b == 0 else (1 / 3,) * 3 for b in range(interpolation.BUCKETS)}
+    for _ in range(12):
+        total = {}
+        for b, p in held:
+            part = [x * y for x, y in zip(mix[b], p)]
+            total[b] = [x + y / sum(part) for x, y in zip(total.get(b, (0, 0, 0)), part)]
+        mix.update({b: [x / sum(t) for x in t] for b, t in total.items()})
+    want = {i: sum(math.log10(sum(x * y for x, y in zip(mix[b], p))) for b, p in estimates([i], one, two, n)) for i in toks}
+
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for size in (700, 1 << 20):  # many chunks and ranges, or one
+        got = interpolation.score_documents(spark, frame, id_crc() % 7 != 2, F.floor(id_crc() / 7) % 4 == 0, chunk_bytes=size, range_bytes=size)
+        got = {r.doc_id: r.score for r in got.collect()}
+        assert got == pytest.approx(want, rel=1e-5)
+
+
 def test_classifiers_learn_and_take_edge_rows(spark, docs, empty):
     good = [(i, text_of(500 + i, 40), None, None, 0) for i in range(200)]
     bad = [(1000 + i, f"{text_of(700 + i, 20)} idiot {text_of(900 + i, 20)}!!!! $$$$ ||||", None, None, 0) for i in range(60)]
