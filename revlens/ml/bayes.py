@@ -54,12 +54,15 @@ def fit(train: DataFrame, vocab: DataFrame, smoothing: float = 1.0, labels=LABEL
     return priors, every.crossJoin(F.broadcast(size)).select("kind", "term", "idf", *logs)  # ``size`` is one row
 
 
-def predict(rows: DataFrame, priors: DataFrame, likelihoods: DataFrame, labels=LABELS) -> DataFrame:
-    """Id, label, log_score_k and prediction (the largest score, ties: the smaller label) of every row; a document without
-    vocabulary terms is judged by the priors."""
+def predict(rows: DataFrame, priors: DataFrame, likelihoods: DataFrame, labels=LABELS, keep: tuple[str, ...] = ("label",)) -> DataFrame:
+    """Id, the columns ``keep``, log_score_k, prediction (the largest score, ties: the smaller label), prob (array of the class probabilities) and
+    confidence (the largest of them) of every row; a document without vocabulary terms is judged by the priors."""
     value = [F.sum(F.col("value") * F.col(f"like_{k}")).alias(f"s_{k}") for k in labels]
     scored = document_terms(rows, likelihoods).groupBy("Id").agg(*value)
-    got = rows.select("Id", "label").join(scored, "Id", "left").crossJoin(F.broadcast(priors))  # ``priors`` is one row
-    got = got.select("Id", "label", *((F.coalesce(f"s_{k}", F.lit(0.0)) + F.col(f"prior_{k}")).alias(f"log_score_{k}") for k in labels))
+    got = rows.select("Id", *keep).join(scored, "Id", "left").crossJoin(F.broadcast(priors))  # ``priors`` is one row
+    got = got.select("Id", *keep, *((F.coalesce(f"s_{k}", F.lit(0.0)) + F.col(f"prior_{k}")).alias(f"log_score_{k}") for k in labels))
     best = F.array_max(F.array(*(F.struct(F.col(f"log_score_{k}").alias("s"), F.lit(-k).alias("k")) for k in labels)))
-    return got.withColumn("prediction", -best["k"])
+    got = got.withColumn("prediction", -best["k"]).withColumn("top", best["s"])
+    part = [F.exp(F.col(f"log_score_{k}") - F.col("top")) for k in labels]  # the largest is 1, so none overflows
+    total = sum(part[1:], part[0])
+    return got.withColumn("prob", F.array(*(x / total for x in part))).withColumn("confidence", 1 / total).drop("top")

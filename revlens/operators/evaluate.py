@@ -15,9 +15,10 @@ from revlens.functions.labels import label_name
 K = 3
 
 
-def confusion_row(df: DataFrame, label: str = "label", prediction: str = "prediction", k: int = K) -> DataFrame:
+def confusion_row(df: DataFrame, label: str = "label", prediction: str = "prediction", k: int = K, by: tuple[str, ...] = ()) -> DataFrame:
+    """All cells in one row, or in one row for each value of ``by``."""
     lab, pred = F.col(label), F.col(prediction)
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if((lab == i) & (pred == j)).alias(f"c{i}{j}") for i in range(k) for j in range(k)],
     )
@@ -90,19 +91,22 @@ def per_class_prf(df: DataFrame, label: str = "label", prediction: str = "predic
     )
 
 
-def eval_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", k: int = K, per_class: dict | None = None) -> DataFrame:
+def eval_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", k: int = K, per_class: dict | None = None,
+                 by: tuple[str, ...] = ()) -> DataFrame:
     """ML15: accuracy, weighted and macro F1, weighted precision / recall.
 
     ``f1_weighted`` is what MLlib's evaluator calls "f1"; ``f1_macro`` is the
     plain mean of per-class F1 -- both are reported, under their own names.
-    ``per_class`` adds columns from the same row: name -> (class, metric)."""
-    row = confusion_row(df, label, prediction, k)
+    ``per_class`` adds columns from the same row: name -> (class, metric);
+    ``by`` gives one row for each of its values."""
+    row = confusion_row(df, label, prediction, k, by)
     E = [_class_exprs(i, k) for i in range(k)]
 
     def weighted(m):
         return "(" + " + ".join(f"CAST({E[i]['support']} AS DOUBLE) * ({E[i][m]})" for i in range(k)) + ") / CAST(n AS DOUBLE)"
 
     exprs = [
+        *by,
         "n",
         "CAST(" + " + ".join(f"c{i}{i}" for i in range(k)) + " AS DOUBLE) / CAST(n AS DOUBLE) AS accuracy",
         weighted("f1") + " AS f1_weighted",

@@ -12,13 +12,15 @@ import threading
 
 from pyspark.sql import functions as F
 
-from revlens.functions.labels import score_label, sentiment_index
+from revlens.functions.labels import label_name, score_label, sentiment_index
+from revlens.ml import bayes as NB
 from revlens.ml import features as FE
 from revlens.ml import lifecycle as LC
 from revlens.ml import models as MO
 from revlens.ml.run_log import RunLog, nightly, record_scores
+from revlens.operators import evaluate as EV
 from revlens.operators import prep as PR
-from revlens.plans.oracle_base import MLLIB_STOP_SQL, clean, full_text, index_of, label_of, split_of, with_fixtures
+from revlens.plans.oracle_base import MLLIB_STOP_SQL, clean, full_text, index_of, label_of, name_of, split_of, with_fixtures
 from revlens.plans.registry import register
 from revlens.session import scratch_path
 from revlens.sources.files import source_version
@@ -142,7 +144,7 @@ def q_nb(spark, sf_dir):
     return MO.predictions(MO.naive_bayes().fit(train), test)
 
 
-_BAYES_SQL = with_fixtures(_FEATURES_SQL + """,
+_BAYES_SQL = _FEATURES_SQL + """,
 val AS (SELECT t.kind, t.Id, t.term, count(*) * any_value(ln((SELECT m + 1 FROM m) / (v.df + 1))) AS v
         FROM terms t JOIN vocab v ON t.kind = v.kind AND t.term = v.term GROUP BY t.kind, t.Id, t.term),
 cls AS (SELECT k AS label, (SELECT count(*) FROM r WHERE split = 'train' AND r.label = k) AS n FROM (VALUES (0), (1), (2)) x(k)),
@@ -153,26 +155,107 @@ sums AS (SELECT vocab.kind, vocab.term, cls.label, coalesce(any_value(s.v), 0.0)
 tot AS (SELECT label, sum(v) + count(*) AS z FROM sums GROUP BY label),
 ll AS (SELECT kind, term, sums.label, ln(v + 1.0) - ln(z) AS l FROM sums JOIN tot ON tot.label = sums.label),
 part AS (SELECT val.Id, ll.label, sum(val.v * ll.l) AS s FROM val JOIN ll ON ll.kind = val.kind AND ll.term = val.term GROUP BY ALL),
-sc AS (SELECT r.Id, r.label, p.label AS k, coalesce(part.s, 0.0) + p.lp AS s FROM r CROSS JOIN prior p
-       LEFT JOIN part ON part.Id = r.Id AND part.label = p.label WHERE r.split = 'test')
-SELECT Id, any_value(label) AS label, CAST(arg_max(k, s) AS INTEGER) AS prediction,
-       round(max(s) FILTER (WHERE k = 0), 4) AS log_score_0, round(max(s) FILTER (WHERE k = 1), 4) AS log_score_1,
-       round(max(s) FILTER (WHERE k = 2), 4) AS log_score_2
-FROM sc GROUP BY Id""", "review_text")
+sc AS (SELECT r.Id, r.split, r.label, p.label AS k, coalesce(part.s, 0.0) + p.lp AS s FROM r CROSS JOIN prior p
+       LEFT JOIN part ON part.Id = r.Id AND part.label = p.label),
+scored AS (SELECT Id, any_value(split) AS split, any_value(label) AS label, CAST(arg_max(k, s) AS INTEGER) AS prediction,
+       max(s) FILTER (WHERE k = 0) AS s0, max(s) FILTER (WHERE k = 1) AS s1, max(s) FILTER (WHERE k = 2) AS s2, max(s) AS top
+       FROM sc GROUP BY Id)
+"""
+_TOTAL = "(exp(s0 - top) + exp(s1 - top) + exp(s2 - top))"
 
 
-@register("nb_relational", _BAYES_SQL, ("ML10",))
-def q_nb_relational(spark, sf_dir):
-    """Naive Bayes learned and applied as relations, over the test rows."""
-    from revlens.ml import bayes as NB
-
+def _bayes(spark, sf_dir):
+    """(rows with terms and split, the relational model learned from the training rows)."""
     rows = NB.with_terms(prepared(spark, sf_dir))
     train = rows.where(F.col("split") == "train")
-    vocab = NB.weighted_vocabulary(train)
-    got = NB.predict(rows.where(F.col("split") == "test"), *NB.fit(train, vocab))
+    return rows, NB.fit(train, NB.weighted_vocabulary(train))
+
+
+@register("nb_relational", with_fixtures(_BAYES_SQL + """
+SELECT Id, label, prediction, round(s0, 4) AS log_score_0, round(s1, 4) AS log_score_1, round(s2, 4) AS log_score_2
+FROM scored WHERE split = 'test'""", "review_text"), ("ML10",))
+def q_nb_relational(spark, sf_dir):
+    """Naive Bayes learned and applied as relations, over the test rows."""
+    rows, model = _bayes(spark, sf_dir)
+    got = NB.predict(rows.where(F.col("split") == "test"), *model)
     return got.select("Id", "label", "prediction", *(F.round(f"log_score_{k}", 4).alias(f"log_score_{k}") for k in NB.LABELS))
 
 
+@register("nb_threshold_override", with_fixtures(_BAYES_SQL + f"""
+SELECT Id, label, prediction, round(exp(s0 - top) / {_TOTAL}, 4) AS p_negative, round(1 / {_TOTAL}, 4) AS confidence,
+       CASE WHEN exp(s0 - top) / {_TOTAL} >= 0.35 THEN 0 ELSE prediction END AS adjusted_prediction
+FROM scored WHERE split = 'test'""", "review_text"), ("ML17", "FN18", "UD02"))
+def q_nb_threshold(spark, sf_dir):
+    """Class probabilities of the test rows and the predictions after the negative threshold."""
+    rows, model = _bayes(spark, sf_dir)
+    got = MO.apply_negative_threshold(NB.predict(rows.where(F.col("split") == "test"), *model), 0.35)
+    return got.select("Id", "label", "prediction", F.round(F.element_at("prob", 1), 4).alias("p_negative"),
+                      F.round("confidence", 4).alias("confidence"), "adjusted_prediction")
+
+
+_NB_CELLS = ", ".join(f"count(*) FILTER (WHERE label = {i} AND prediction = {j}) AS c{i}{j}" for i in range(3) for j in range(3))
+
+
+def _f1_sql(i):
+    said = " + ".join(f"c{j}{i}" for j in range(3))
+    had = " + ".join(f"c{i}{j}" for j in range(3))
+    return had, f"(CASE WHEN {said} + {had} = 0 THEN 0.0 ELSE CAST(2 * c{i}{i} AS DOUBLE) / ({said} + {had}) END)"
+
+
+_NB_METRICS = f"""
+cells AS (SELECT split, count(*) AS n, {_NB_CELLS} FROM scored GROUP BY split),
+f AS (SELECT split, n, CAST(c00 + c11 + c22 AS DOUBLE) / n AS accuracy,
+      ({" + ".join(f"({h}) * {f}" for h, f in map(_f1_sql, range(3)))}) / n AS f1_weighted,
+      ({" + ".join(f for _, f in map(_f1_sql, range(3)))}) / 3.0 AS f1_macro FROM cells)
+"""
+
+
+@register("nb_split_metrics", with_fixtures(_BAYES_SQL + "," + _NB_METRICS + """
+SELECT split, n, round(accuracy, 8) AS accuracy, round(f1_weighted, 8) AS f1_weighted, round(f1_macro, 8) AS f1_macro FROM f""", "review_text"),
+          ("ML15", "ML20"))
+def q_nb_split_metrics(spark, sf_dir):
+    """Scores of the relational model on each part; one row a part."""
+    rows, model = _bayes(spark, sf_dir)
+    scored = NB.predict(rows, *model, keep=("label", "split"))
+    return EV.eval_metrics(scored, by=("split",)).select("split", "n", *(F.round(c, 8).alias(c) for c in ("accuracy", "f1_weighted", "f1_macro")))
+
+
+@register("nb_overfit_check", with_fixtures(_BAYES_SQL + "," + _NB_METRICS + """,
+g AS (SELECT max(f1_weighted) FILTER (WHERE split = 'val') AS val_f1, max(f1_weighted) FILTER (WHERE split = 'test') AS test_f1 FROM f)
+SELECT round(val_f1, 8) AS val_f1, round(test_f1, 8) AS test_f1, round(abs(test_f1 - val_f1), 8) AS gap, abs(test_f1 - val_f1) < 0.02 AS ok FROM g
+""", "review_text"), ("ML23", "FN16"))
+def q_nb_overfit(spark, sf_dir):
+    """Validation F1 against test F1 of the relational model."""
+    rows, model = _bayes(spark, sf_dir)
+    val, test = (EV.eval_metrics(NB.predict(rows.where(F.col("split") == part), *model)) for part in ("val", "test"))
+    got = MO.overfit_check(val, test)
+    return got.select(*(F.round(c, 8).alias(c) for c in ("val_f1", "test_f1", "gap")), "ok")
+
+
+@register("nb_scored_reviews", with_fixtures(_BAYES_SQL + f""",
+vt AS (SELECT Id, {clean(full_text())} AS t FROM reviews),
+vtok AS (SELECT Id, unnest(string_split(t, ' ')) AS term, unnest(range(len(string_split(t, ' ')))) AS p FROM vt),
+vuni AS (SELECT Id, term, p FROM vtok WHERE term <> '' AND NOT list_contains({MLLIB_STOP_SQL}, term)),
+vpair AS (SELECT Id, term || ' ' || lead(term) OVER (PARTITION BY Id ORDER BY p) AS term FROM vuni),
+vterms AS (SELECT 'u' AS kind, Id, term FROM vuni UNION ALL SELECT 'b', Id, term FROM vpair WHERE term IS NOT NULL),
+vmet AS (SELECT t.Id, ll.label, ln((SELECT m + 1 FROM m) / (v.df + 1)) * ll.l AS x FROM vterms t JOIN vocab v ON t.kind = v.kind AND t.term = v.term
+         JOIN ll ON ll.kind = v.kind AND ll.term = v.term LIMIT 9223372036854775807),
+vpart AS (SELECT Id, label, sum(x) AS s FROM vmet GROUP BY ALL),
+vsc AS (SELECT vt.Id, p.label AS k, coalesce(vpart.s, 0.0) + p.lp AS s FROM vt CROSS JOIN prior p
+        LEFT JOIN vpart ON vpart.Id = vt.Id AND vpart.label = p.label LIMIT 9223372036854775807),
+vs AS (SELECT Id, arg_max(k, s) AS best, max(s) AS top,
+       max(s) FILTER (WHERE k = 0) AS s0, max(s) FILTER (WHERE k = 1) AS s1, max(s) FILTER (WHERE k = 2) AS s2 FROM vsc GROUP BY Id)
+SELECT Id, {name_of("best")} AS predicted_sentiment, round(1 / {_TOTAL}, 4) AS confidence, round(exp(s0 - top) / {_TOTAL}, 4) AS p_negative FROM vs""", "review_text", "reviews"),
+          ("ML18", "PJ07", "FN18", "UD02"))
+def q_nb_scored_reviews(spark, sf_dir):
+    """Every stored review scored by the relational model: sentiment name, confidence and probability of negative."""
+    _, model = _bayes(spark, sf_dir)
+    rows = NB.with_terms(PR.with_cleaned_text(reviews(spark, sf_dir).select("Id", "Summary", "Text")))
+    got = NB.predict(rows, *model, keep=())
+    return got.select("Id", label_name("prediction").alias("predicted_sentiment"), F.round("confidence", 4).alias("confidence"),
+                      F.round(F.element_at("prob", 1), 4).alias("p_negative"))
+
+
 @register("rf_predictions", None, ("ML11",))
 def q_rf(spark, sf_dir):
     _, train, _, test = splits(spark, sf_dir)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from revlens.ml import features as FE
 from revlens.ml import models as MO
+from revlens.operators import evaluate as E
 from revlens.operators.prep import with_class_weights
 from revlens.operators.words import term_arrays
 
@@ -62,12 +63,31 @@ def test_relational_bayes_agrees_with_the_estimator_on_every_row(spark):
         spark.createDataFrame([(900, "unseen words only", 1), (901, "great great great awful", 2)], rows.schema))
     fz = FE.feature_pipeline(min_df=2, min_doc_freq=2).fit(train)
     model = MO.naive_bayes().fit(FE.with_label_index(fz.transform(train)))
-    want = {r.Id: (int(r.prediction), r.raw) for r in model.transform(FE.with_label_index(fz.transform(test))).select(
-        "Id", "prediction", vector_to_array("rawPrediction").alias("raw")).collect()}
+    want = {r.Id: (int(r.prediction), r.raw, r.prob) for r in model.transform(FE.with_label_index(fz.transform(test))).select(
+        "Id", "prediction", vector_to_array("rawPrediction").alias("raw"), vector_to_array("probability").alias("prob")).collect()}
     seen = NB.with_terms(train)
     vocab = NB.weighted_vocabulary(seen, 2)
     got = NB.predict(NB.with_terms(test), *NB.fit(seen, vocab)).collect()
     assert len(got) == len(want)
     for r in got:
-        label, raw = want[r.Id]
+        label, raw, prob = want[r.Id]
         assert r.prediction == label and max(abs(r[f"log_score_{k}"] - raw[k]) for k in range(3)) < 1e-9
+        assert max(abs(a - b) for a, b in zip(r.prob, prob, strict=True)) < 1e-9 and r.confidence == max(r.prob)
+
+
+def test_bayes_probabilities_of_far_apart_scores_and_metrics_by_part(spark):
+    """Scores that differ by thousands don't overflow; metrics by part equal those of each part alone."""
+    from revlens.ml import bayes as NB
+
+    rows = spark.createDataFrame([(1, "x", ["bad"] * 3000, []), (2, "x", [], []), (3, "y", None, None)],
+                                 "Id long, part string, words_filtered array<string>, bigrams array<string>")
+    priors = spark.createDataFrame([(-1.0, -2.0, -3.0)], "prior_0 double, prior_1 double, prior_2 double")
+    like = spark.createDataFrame([("u", "bad", 2.0, -0.1, -9.0, -9.0)], "kind string, term string, idf double, like_0 double, like_1 double, like_2 double")
+    got = {r.Id: r for r in NB.predict(rows, priors, like, keep=("part",)).collect()}
+    assert got[1].prob == [1.0, 0.0, 0.0] and got[1].confidence == 1.0 and got[1].prediction == 0
+    assert got[2].prob == got[3].prob and abs(sum(got[2].prob) - 1) < 1e-12 and got[3].part == "y"
+    cells = spark.createDataFrame([("a", 0, 0), ("a", 1, 2), ("b", 2, 2), ("b", 0, 1), (None, 1, 1)], "part string, label int, prediction int")
+    whole = {r.part: tuple(r)[1:] for r in E.eval_metrics(cells, by=("part",)).collect()}
+    for part in ("a", "b", None):
+        alone = E.eval_metrics(cells.where(F.col("part").eqNullSafe(F.lit(part)))).first()
+        assert whole[part] == tuple(alone)
