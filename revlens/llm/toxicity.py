@@ -11,7 +11,8 @@ that touched it.  A coordinate is included if ``min_rows`` rows of the whole sam
 which of these have a weight is left to L1.  Spark sums counts and changes by coordinate range, so the driver gets the size of the model.
 
 Rows: a null or empty text has the bias as its only feature.  Labels that are null, or of a null id, are not learned from;
-if an id has several labels, the largest counts.  Without labelled rows of both
+if an id has several labels, the largest counts.  Where ids repeat, equal rows are learned from once, and the bound holds for
+rows: they are drawn by id and text.  Without labelled rows of both
 classes every score is the share of label 1 (0.5 without any row).  Null ids, rows that share an id and repeated
 rows are scored each by itself.  An empty table gives no rows.  Only the named columns are read.
 """
@@ -58,7 +59,21 @@ def sample_labels(labels: DataFrame, id_col: str, label_col: str, train: Column,
     return rows
 
 
-def _training_rows(docs: DataFrame, sample: DataFrame, bits: int, shards: int) -> DataFrame:
+def _labelled(spark: SparkSession, docs: DataFrame, sample: DataFrame, max_rows: int) -> tuple[DataFrame, Column, int]:
+    """Rows (id, text, y) of the sampled ids, the hash that deals them, and about how many they are (``max_rows`` at most)."""
+    rows = docs.join(F.broadcast(sample), "id")  # the sample is bounded by max_rows
+    n, ids = rows.select("id").agg(F.count("*"), F.count_distinct("id")).first()
+    if n == ids:
+        return rows, F.xxhash64("id", F.lit(1)), n
+    # ids repeat, so a bound on ids is none on rows: repeated rows collapse per task, then rows are drawn by id and text
+    rows = materialize(spark, rows.select("id", "y", "text").distinct(), "tox-rows")
+    n = rows.count()
+    if n > max_rows:
+        rows = rows.where(F.pmod(F.xxhash64("id", "text", F.lit(2)), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
+    return rows, F.xxhash64("id", "text", F.lit(1)), min(n, max_rows)
+
+
+def _training_rows(rows: DataFrame, pick: Column, bits: int, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in text_chunks(batch.column("text")):
@@ -71,8 +86,6 @@ def _training_rows(docs: DataFrame, sample: DataFrame, bits: int, shards: int) -
                     [*(batch.column(c).slice(i, j - i) for c in ("shard", "pick", "y")),
                      pa.array([pack_planes(np.diff(at[a:b], prepend=np.uint32(0))) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["shard", "pick", "y", "at"])
 
-    rows = docs.join(F.broadcast(sample), "id")  # the sample is bounded by max_train_rows
-    pick = F.xxhash64("id", F.lit(1))
     rows = rows.select(F.pmod(pick, F.lit(shards)).cast("int").alias("shard"), pick.alias("pick"), "y", "text")
     return rows.mapInArrow(run, "shard int, pick long, y int, at binary")
 
@@ -217,8 +230,8 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, trai
     sample = materialize(spark, sample_labels(labels, id_col, label_col, train, max_train_rows), "tox-labels")
     seen = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     if set(seen) >= {0, 1}:
-        shards = -(-sum(seen.values()) // SHARD_ROWS)
-        rows = _training_rows(src, sample, bits, shards)
+        rows, pick, n = _labelled(spark, src, sample, max_train_rows)
+        rows = _training_rows(rows, pick, bits, max(1, -(-n // SHARD_ROWS)))
         model = fit(spark, rows, bits, rounds, min_rows, alpha, beta, l1, l2)
     else:
         share = (seen.get(1, 0) + 0.5) / (sum(seen.values()) + 1)

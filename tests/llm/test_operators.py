@@ -362,6 +362,24 @@ def test_lm_interpolated_score_equals_token_by_token_model(spark):
         assert got == pytest.approx(want, rel=1e-5)
 
 
+def test_toxicity_sample_of_repeated_ids_is_bounded_by_rows(spark):
+    """An id on most rows, with equal and with different texts: the rows learned from stay within the bound, and the fit still learns."""
+    rows = [(i, text_of(i, 30) + (" idiot fool" if i % 4 == 0 else "")) for i in range(100)]
+    rows += [(4, "same idiot fool text")] * 3000 + [(3, text_of(5000 + i, 12)) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    sample = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)], "id long, y int")
+    got, _, n = toxicity._labelled(spark, frame, sample, 400)
+    kept = [tuple(r) for r in got.select("id", "text").collect()]
+    assert n == 400 and 300 < len(kept) < 500 and len(set(kept)) == len(kept)
+    got, _, n = toxicity._labelled(spark, frame, sample, 10_000)
+    assert n == got.count() == len(set(rows))
+    labels = sample.select(F.col("id").alias("doc_id"), F.col("y").alias("toxic"))
+    docs = frame.withColumnRenamed("id", "doc_id")
+    scored = toxicity.score_toxicity(spark, docs, labels, F.lit(True), max_train_rows=400).collect()
+    assert len(scored) == len(rows)
+    assert all((r.score >= 0.5) == (r.doc_id == 4) for r in scored if r.doc_id in (3, 4))
+
+
 def test_classifiers_learn_and_take_edge_rows(spark, docs, empty):
     good = [(i, text_of(500 + i, 40), None, None, 0) for i in range(200)]
     bad = [(1000 + i, f"{text_of(700 + i, 20)} idiot {text_of(900 + i, 20)}!!!! $$$$ ||||", None, None, 0) for i in range(60)]
