@@ -155,7 +155,11 @@ def score(featurizer, model, df: DataFrame, threshold: float | None = None) -> D
 
 def overfit_check(val_metrics: DataFrame, test_metrics: DataFrame, max_gap: float = 0.02) -> DataFrame:
     """ML23/FN16: |test F1 - val F1| below ``max_gap`` (one comparison row)."""
-    v = val_metrics.select(F.col("f1_weighted").alias("val_f1"))
     t = test_metrics.select(F.col("f1_weighted").alias("test_f1")).scalar()
-    return v.select("val_f1", t.alias("test_f1"), F.abs(t - F.col("val_f1")).alias("gap"),
-                    (F.abs(t - F.col("val_f1")) < max_gap).alias("ok"))
+    return with_gap(val_metrics.select(F.col("f1_weighted").alias("val_f1"), t.alias("test_f1")), max_gap)
+
+
+def with_gap(scores: DataFrame, max_gap: float = 0.02) -> DataFrame:
+    """Adds gap and ok to ``val_f1`` and ``test_f1``."""
+    gap = F.abs(F.col("test_f1") - F.col("val_f1"))
+    return scores.select("val_f1", "test_f1", gap.alias("gap"), (gap < max_gap).alias("ok"))
