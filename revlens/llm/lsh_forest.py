@@ -10,11 +10,14 @@
    prefixes and in a sparse one short ones, so the depth adapts by itself.  Neighbours with a common prefix of
    ``MIN_DEPTH`` whose sketches agree well enough for a similarity near the threshold are
    candidates.  Rows at partition borders meet in a second, small pass.
-3. Candidates are joined to regions (connected components).  Inside a region every
-   pair of members that no candidate named is tried too: a region is cut into
-   blocks of at most ``block_docs`` members, a task takes two blocks, counts common shingles on the full sets and
-   returns what the true links join (fewer rows than its members).  No link inside a region is
-   lost, no list of pairs is made, and no task holds more than two blocks.
+3. Candidates are joined to regions (connected components).  Inside a region no link is lost, no list of
+   pairs is made, and no task holds more than two blocks of at most ``block_docs`` members; it counts common shingles on the full sets and
+   returns what the true links join (fewer rows than its members).  A region of one block is done in one group.  A larger one
+   is first thinned: each block is linked by itself, then one member of each linked group meets those of other groups, as long as this
+   at least halves the groups, so that a crowd of near copies becomes one group after copying each set a few times.  Where several
+   groups are left, members meet on the rarest shingles of their sets (the prefix that two sets of enough similarity
+   must share a shingle of), shingles whose members are all of one group aside; a list of more than a block is cut into blocks, any two of which meet.
+   Should these lists copy more sets than any two blocks of the region would, the region's blocks meet instead: both ways find every link.
 4. Components of the true links give the result.
 
 What can be missed is a link whose two documents end up in different regions: none of the
@@ -23,7 +26,8 @@ over 32) and no third document brings them together.
 
 Rows: a text with fewer than k words has its whole word sequence as only shingle; a null or empty text, or one
 of blanks, has no shingles and no links.  Rows that share a doc_id are one document:
-what one of them links with, the others reach.  Null ids join the class of an equal set, but
+what one of them links with, the others reach; their sets are dealt over the blocks like those of other ids, and exact repeats
+are dropped in each task that reads them.  Null ids join the class of an equal set, but
 stand for no class; alone, their component is null and they are kept.  Ties and repeated rows make one class.
 An empty table gives no rows.  Only the named id and text columns are read.
 """
@@ -47,6 +51,7 @@ TREES = 32
 DEPTH = 8
 MIN_DEPTH = 3
 NEIGHBOURS = 3
+SLOTS = 1 << 18  # counters by which shingles are told common from rare
 
 _rng = np.random.Generator(np.random.PCG64(97))
 _A = (_rng.integers(0, 2**31, SIGNATURE) * 2 + 1).astype(np.uint32)
@@ -80,7 +85,7 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(docs: DataFrame, k: int, kind: str, keyed: bool) -> DataFrame:
+def _signatures(docs: DataFrame, k: int, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in text_chunks(batch.column("text")):
@@ -89,13 +94,12 @@ def _signatures(docs: DataFrame, k: int, kind: str, keyed: bool) -> DataFrame:
                     size.append(len(s))
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sigs.append(signature(s).tobytes() if len(s) else None)
-                row = [batch.column("text_key").slice(i, j - i)] if keyed else []
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(i, j - i), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), *row],
-                    names=["id", "n_shingles", "set_key", "sig", "text_key"][:4 + keyed])
+                    [batch.column("id").slice(i, j - i), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()),
+                     batch.column("text_key").slice(i, j - i)], names=["id", "n_shingles", "set_key", "sig", "text_key"])
 
-    docs = docs.withColumn("text_key", text_key("text")) if keyed else docs
-    return docs.mapInArrow(run, f"id {kind}, n_shingles long, set_key binary, sig binary" + ", text_key long" * keyed)
+    docs = docs.withColumn("text_key", text_key("text"))
+    return docs.mapInArrow(run, f"id {kind}, n_shingles long, set_key binary, sig binary, text_key long")
 
 
 def _forest(classes: DataFrame, kind: str) -> DataFrame:
@@ -186,8 +190,8 @@ def candidate_pairs(spark: SparkSession, classes: DataFrame, kind: str, least: i
     order = ["tree", "key", "id"]
     rows = _forest(classes, kind).repartitionByRange(*order).sortWithinPartitions(*order)
     first = materialize(spark, _neighbours(rows, kind, least, True), "neighbours")
-    # a few rows per partition of the forest
-    edge = first.where("b is null").select("tree", "key", F.col("a").alias("id")).repartition(1).sortWithinPartitions(*order)
+    # a few rows per partition of the forest; only rows of one tree need to meet
+    edge = first.where("b is null").select("tree", "key", F.col("a").alias("id")).repartition("tree").sortWithinPartitions(*order)
     pairs = first.where("b is not null").select("a", "b").unionByName(_neighbours(edge, kind, least, False).select("a", "b"))
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -233,11 +237,14 @@ def _links(codes: list[np.ndarray], block: np.ndarray, names: list, percent: int
     return [(names[i], names[find(i)]) for i in range(n) if find(i) != i]
 
 
+_GROUP = ("region", "part", "p", "q")
+
+
 def _verified(members: DataFrame, kind: str, percent: int) -> DataFrame:
-    """True links inside regions; ``members``: region, p, q, block, id, set, dealt and sorted by (region, p, q)."""
+    """True links of sets that meet in a group (region, part, p, q); ``members`` also has block, id, row, set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, codes, block, names = None, [], [], []
+        group, codes, block, names, last = None, [], [], [], None
 
         def finish():
             found = _links(codes, np.array(block), names, percent) if len(codes) > 1 else []
@@ -246,19 +253,145 @@ def _verified(members: DataFrame, kind: str, percent: int) -> DataFrame:
 
         for batch in batches:
             id_type = batch.column("id").type
-            cols = [batch.column(c).to_pylist() for c in ("region", "p", "q", "block", "id")]
-            for (region, p, q, own, name), s in zip(zip(*cols), batch.column("set")):
-                if (region, p, q) != group:
+            cols = [batch.column(c).to_pylist() for c in (*_GROUP, "block", "id", "row")]
+            for (*key, own, name, row), s in zip(zip(*cols), batch.column("set")):
+                if key != group:
                     if group is not None:
                         yield finish()
-                    group, codes, block, names = (region, p, q), [], [], []
+                    group, codes, block, names, last = key, [], [], [], None
+                if (name, row) == last:
+                    continue  # the same row again
+                last = name, row
                 codes.append(np.frombuffer(s.as_buffer(), np.uint64).copy())
                 block.append(own)
                 names.append(name)
         if group is not None:
             yield finish()
 
-    return members.mapInArrow(run, f"a {kind}, b {kind}")
+    dealt = members.select(*_GROUP, "block", "id", "row", "set").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id", "row")
+    return dealt.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _sets(texts: DataFrame, kind: str, k: int, remembered: int = 1 << 16) -> DataFrame:
+    """Shingle sets of the rows that stand for classes; a task gives a repeated row once per ``remembered`` distinct ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            fresh = []
+            for i, row in enumerate(zip(batch.column("id").to_pylist(), batch.column("row").to_pylist())):
+                if row not in seen:
+                    fresh.append(i)
+                    seen.add(row)
+            if len(seen) > remembered:
+                seen.clear()
+            batch = batch.take(pa.array(fresh, pa.int64()))
+            for i, j, data, offs in text_chunks(batch.column("text")):
+                own = [x.tobytes() for x in shingle_sets(data, offs, k)]
+                cols = [batch.column(c).slice(i, j - i) for c in ("region", "block", "blocks", "id", "row")]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(own, pa.binary())], names=["region", "block", "blocks", "id", "row", "set"])
+
+    return texts.mapInArrow(run, f"region {kind}, block int, blocks int, id {kind}, row long, set binary").where("octet_length(set) > 0")
+
+
+def _slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many members hold the shingles of each of ``SLOTS`` slots; at most ``SLOTS`` numbers reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for s in batch.column("set"):
+                np.add.at(total, np.frombuffer(s.as_buffer(), np.uint64) % np.uint64(SLOTS), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["slot", "n"])
+
+    counts = np.zeros(SLOTS, np.int64)
+    for slot, n in sets.select("set").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        counts[slot] = n
+    return counts
+
+
+def _prefixes(sets: DataFrame, kind: str, percent: int) -> DataFrame:
+    """The rarest shingles of each set, so many that two sets of enough similarity share one of them.
+
+    Of ``n`` shingles a link needs ``o = ceil(percent * n / 100)`` in common, so under any one order of all shingles the first
+    ``n - o + 1`` of both sets have one in common.  The order is by the count of the shingle's slot, then by hash."""
+    counts = sets.sparkSession.sparkContext.broadcast(_slot_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = counts.value
+        for batch in batches:
+            at, out, size = [], [], []
+            for i, s in enumerate(batch.column("set")):
+                s = np.frombuffer(s.as_buffer(), np.uint64)
+                first = s[np.lexsort((s, common[s % np.uint64(SLOTS)]))][:len(s) + (-percent * len(s) // 100) + 1]
+                at.append(np.full(len(first), i))
+                out.append(first.view(np.int64))
+                size.append(np.full(len(first), len(s)))
+            if at:
+                at = pa.array(np.concatenate(at))
+                cols = [batch.column(c).take(at) for c in ("region", "grp", "id", "row")]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(out)), pa.array(np.concatenate(size))],
+                                                 names=["region", "grp", "id", "row", "part", "n"])
+
+    return sets.select("region", "grp", "id", "row", "set").mapInArrow(run, f"region {kind}, grp {kind}, id {kind}, row long, part long, n long")
+
+
+def _meet(rows: DataFrame) -> DataFrame:
+    """Each row once for every pair of blocks that its own is in."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return rows.select("*", other).withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
+
+
+def _blocks(docs, shingles, block_docs: int, block_shingles: int):
+    return F.ceil(F.greatest(docs / block_docs, shingles / block_shingles)).cast("int")
+
+
+def _region_links(spark: SparkSession, sets: DataFrame, kind: str, percent: int, block_docs: int, block_shingles: int) -> DataFrame:
+    """Pairs (a, b) that join what the true links inside each region join; ``sets``: region, block, blocks, id, row, set."""
+    alone = sets.withColumns({"part": F.lit(0).cast("long"), "p": F.col("block"), "q": F.col("block")})
+    links = materialize(spark, _verified(alone, kind, percent), "links")
+    large = sets.where("blocks > 1")
+    nodes = materialize(spark, large.select("region", "id", "row", "blocks", (F.octet_length("set") / 8).cast("long").alias("n")).distinct(), "large")
+    if nodes.isEmpty():
+        return links
+    several, before = links.join(nodes.select(F.col("id").alias("a")).distinct(), "a", "left_semi"), nodes.count()
+    while True:
+        found = connected_components(spark, several)
+        grouped = nodes.join(found, nodes["id"] == found["node"], "left").withColumn("grp", F.coalesce("root", "id")).drop("node", "root")
+        heads = grouped.groupBy("region", "grp").agg(F.min(F.struct("id", "row", "n")).alias("head"))
+        heads = materialize(spark, heads.select("region", "grp", "head.*"), "heads")
+        cuts = heads.groupBy("region").agg(F.count("*").alias("grps"), _blocks(F.count("*"), F.sum("n"), block_docs, block_shingles).alias("cut"))
+        cuts = materialize(spark, cuts.where("grps > 1"), "cuts")
+        now = cuts.agg(F.coalesce(F.sum("grps"), F.lit(0))).first()[0]
+        if now == 0:
+            return links
+        if 2 * now > before:
+            break
+        before = now
+        dealt = heads.join(cuts, "region").select("id", "row", F.expr("cast(pmod(xxhash64(id, row, grps), cut) as int)").alias("p"))
+        met = large.join(dealt, ["id", "row"]).withColumns({"part": F.lit(0).cast("long"), "q": F.col("p"), "block": F.col("p")})
+        more = materialize(spark, _verified(met, kind, percent), "links")
+        links, several = links.unionByName(more), several.unionByName(more)
+
+    # several groups are left: members meet on rare shingles, or block by block where that copies fewer sets
+    still = grouped.join(cuts.select("region"), "region", "left_semi").select("id", "row", "grp")
+    open_rows = materialize(spark, large.join(still, ["id", "row"]).dropDuplicates(["id", "row"]), "open")
+    posts = materialize(spark, _prefixes(open_rows, kind, percent), "posts")
+    lists = (posts.groupBy("region", "part").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.count("*").alias("docs"),
+                                                 _blocks(F.count("*"), F.sum("n"), block_docs, block_shingles).alias("blocks")).where("low <> high"))
+    lists = materialize(spark, lists.select("region", "part", "docs", "blocks"), "lists")
+    by_blocks = open_rows.groupBy("region").agg(F.sum("blocks").alias("copies"))
+    by_lists = lists.groupBy("region").agg(F.sum(F.col("docs") * F.col("blocks")).alias("listed"))
+    ways = materialize(spark, by_lists.join(by_blocks, "region").select("region", (F.col("listed") <= F.col("copies")).alias("rare")), "ways")
+    place = F.expr("cast(pmod(xxhash64(id, row), blocks) as int)").alias("block")
+    asked = (posts.join(lists, ["region", "part"]).join(ways.where("rare").select("region"), "region", "left_semi")
+             .select("id", "row", "part", place, "blocks"))
+    rare = _meet(open_rows.drop("block", "blocks").join(asked, ["id", "row"]))
+    whole = _meet(open_rows.join(ways.where("not rare").select("region"), "region", "left_semi").withColumn("part", F.lit(0).cast("long")))
+    whole = whole.where("p < q")  # each block has been linked by itself
+    cols = [*_GROUP, "block", "id", "row", "set"]
+    return links.unionByName(_verified(rare.select(*cols), kind, percent)).unionByName(_verified(whole.select(*cols), kind, percent))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -270,10 +403,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     """
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sigs = materialize(spark, _signatures(src, k, kind, keyed), "signatures")
+    sigs = materialize(spark, _signatures(src, k, kind), "signatures")
+    stands = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_key")))  # the row that stands for a class
     classes = (sigs.where("set_key is not null").groupBy("set_key")
-               .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
-    classes = materialize(spark, classes, "classes")
+               .agg(stands.alias("row"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
+    classes = materialize(spark, classes.select("set_key", "row.id", F.col("row.text_key").alias("row"), "n", "sig"), "classes")
 
     # sketch agreement of a pair at similarity s: (1 + 3 s) / 4 of the values; 4.5 deviations below it
     s = (1 + 3 * percent / 100) / 4
@@ -281,27 +415,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     standing = classes.where("id is not null")
     pairs = candidate_pairs(spark, standing, kind, least)
     regions = connected_components(spark, pairs)
-    members = regions.join(standing.select(F.col("id").alias("node"), "n"), "node").select("node", F.col("root").alias("region"), "n")
+    members = regions.join(standing.select(F.col("id").alias("node"), "row", "n"), "node").select(
+        "node", "row", F.col("root").alias("region"), "n")
     members = materialize(spark, members, "members")
-    cuts = members.groupBy("region").agg(F.ceil(F.greatest(F.count("*") / block_docs, F.sum("n") / block_shingles)).cast("int").alias("blocks"))
-    members = (members.join(cuts, "region").groupBy("node")  # a repeated id may stand for several sets
-               .agg(F.min("region").alias("region"), F.max("blocks").alias("blocks")))
-    placed = members.select("node", "region", "blocks", F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("block"))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, data, offs in text_chunks(batch.column("text")):
-                own = [x.tobytes() for x in shingle_sets(data, offs, k)]
-                cols = [batch.column(c).slice(i, j - i) for c in ("region", "block", "blocks", "id")]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(own, pa.binary())], names=["region", "block", "blocks", "id", "set"])
-
-    texts = src.where("id is not null").join(placed.hint("shuffle_hash"), src["id"] == placed["node"]).select("region", "block", "blocks", "id", "text")
-    own = texts.mapInArrow(sets, f"region {kind}, block int, blocks int, id {kind}, set binary").where("octet_length(set) > 0")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tried = own.select("region", "block", "id", "set", other).select(
-        "region", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "set")
-    tried = tried.repartition("region", "p", "q").sortWithinPartitions("region", "p", "q")
-    links = _verified(tried, kind, percent)
+    cuts = members.groupBy("region").agg(_blocks(F.count("*"), F.sum("n"), block_docs, block_shingles).alias("blocks"))
+    placed = members.join(cuts, "region").select(
+        "node", "row", "region", "blocks", F.expr("cast(pmod(xxhash64(node, row), blocks) as int)").alias("block"))
+    keyed_src = src.where("id is not null").withColumn("text_key", text_key("text"))
+    at = (keyed_src["id"] == placed["node"]) & (keyed_src["text_key"] == placed["row"])
+    texts = keyed_src.join(placed.hint("shuffle_hash"), at).select("region", "block", "blocks", "id", "row", "text")
+    links = _region_links(spark, materialize(spark, _sets(texts, kind, k), "sets"), kind, percent, block_docs, block_shingles)
     # rows that share an id are one document: its classes are linked
     named = sigs.where("set_key is not null and id is not null").select("id", "set_key")
     several = materialize(spark, named.groupBy("id").agg(F.count_distinct("set_key").alias("sets")).where("sets > 1"), "shared-ids")

@@ -184,6 +184,70 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty):
     assert lsh_forest.near_duplicates(spark, empty).count() == 0
 
 
+def joined(nodes, links):
+    """Smallest node of each node's component."""
+    low = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    return low
+
+
+def test_links_inside_a_large_region_are_whole(spark):
+    """A crowd of near copies, strangers that share a passage, and sets that share their rare shingles: each region in blocks of four."""
+    rng = np.random.default_rng(21)
+    sets = {}
+    for i in range(60):  # region 1: near copies of one set
+        sets[1, i] = set(range(1000, 1080)) - {1000 + int(x) for x in rng.integers(0, 80, 6)}
+    for i in range(60, 100):  # region 1 too: half a passage, and some pairs among them
+        own = 5000 + 100 * (i // 2)
+        sets[1, i] = set(range(1000, 1040)) | set(range(own, own + 40)) - {own + int(x) for x in rng.integers(0, 40, int(rng.integers(2, 16)))}
+    for i in range(200, 230):  # region 2: drawn from the same hundred shingles, some of them alike
+        sets[2, i] = {int(x) for x in np.random.default_rng(i // 3).permutation(100)[:60 - i % 7]}
+    rows = [(r, i % 5, 25 if r == 1 else 8, i, 7 * i, np.sort(np.array(sorted(s), np.uint64)).tobytes()) for (r, i), s in sets.items()]
+    rows += rows[::9]  # rows read again by another task
+    frame = spark.createDataFrame(rows, "region long, block int, blocks int, id long, row long, set binary").repartition(5)
+    near = [(a, b) for (r, a), x in sets.items() for (q, b), y in sets.items()
+            if r == q and a < b and 100 * len(x & y) >= 75 * len(x | y)]
+    want = joined([i for _, i in sets], near)
+    assert 10 < len(set(want.values())) < len(sets) - 50
+    got = lsh_forest._region_links(spark, frame, "bigint", 75, 4, 1 << 18).collect()
+    assert joined([i for _, i in sets], [tuple(r) for r in got]) == want
+    assert all(want[a] == want[b] for a, b in got)
+
+
+def test_prefixes_of_similar_sets_meet(spark):
+    rng = np.random.default_rng(3)
+    sets = []
+    for i in range(40):
+        base = rng.integers(0, 2**63, int(rng.integers(1, 40)))
+        sets += [np.unique(base).astype(np.uint64), np.unique(np.r_[base[:-1], rng.integers(0, 2**63, i % 3)]).astype(np.uint64)]
+    sets = [s for s in sets if len(s)]
+    frame = spark.createDataFrame([(1, i, i, i, s.tobytes()) for i, s in enumerate(sets)], "region long, grp long, id long, row long, set binary")
+    got = {}
+    for r in lsh_forest._prefixes(frame, "bigint", 75).collect():
+        got.setdefault(r.id, set()).add(r.part)
+    for a, x in enumerate(sets):
+        assert len(got[a]) == len(x) - math.ceil(0.75 * len(x)) + 1
+        for b, y in enumerate(sets):
+            if 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y)):
+                assert got[a] & got[b]
+
+
+def test_near_duplicates_of_a_repeated_id(spark):
+    """One id holds a third of all rows, with repeats and texts of its own: its sets are dealt over blocks, its rows are one document."""
+    base = text_of(70, 90).split()
+    rows = [(1, " ".join(base[:i] + [f"own{i}"] + base[i:])) for i in range(1, 60)] + [(1, " ".join(base))] * 80
+    rows += [(1, text_of(900, 60))] * 3 + [(5, text_of(900, 60) + " more"), (9, text_of(901, 60)), (8, text_of(901, 60) + " more")]
+    rows += [(100 + i, " ".join(base[:i] + [f"other{i}"] + base[i:])) for i in range(60)]
+    frame = spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], SCHEMA).repartition(4)
+    for block in (4, 128):
+        got = lsh_forest.near_duplicates(spark, frame, block_docs=block).collect()
+        assert len(got) == len(rows)
+        assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (5, 1), (8, 8), (9, 8)} | {(100 + i, 1) for i in range(60)}
+        assert all(r.kept == (r.doc_id in (1, 8)) for r in got)
+
+
 def test_chains_are_named_by_their_smallest_id():
     ids = pa.array([7, 3, 9, 2, 5, 5])
     assert lsh_forest._chain_heads(ids, np.array([1, 2, 4])).tolist() == [1, 1, 1, 3, 3, 5]
