@@ -225,10 +225,10 @@ def q_train_val_union(spark, sf_dir):
 
 
 @register("train_eval_split", with_fixtures(
-    f"SELECT Id, CASE WHEN {bucket_of('Id', 'eval:')} < 850 THEN 'train' ELSE 'eval' END AS split FROM review_text",
-    "review_text"), ("SO05",))
+    f"SELECT Id, CASE WHEN {bucket_of('Id', 'eval:')} < 850 THEN 'train' ELSE 'eval' END AS split FROM document_text",
+    "document_text"), ("SO05",))
 def q_train_eval(spark, sf_dir):
-    return PR.train_eval_split(review_text(spark, sf_dir).select("Id"))
+    return PR.train_eval_split(document_text(spark, sf_dir).select("Id"))
 
 
 @register("split_report", with_fixtures(

@@ -46,6 +46,80 @@ def test_weighted_lr_beats_majority_and_is_deterministic(spark):
     assert p1 == p2
 
 
+def test_lr_stands_at_the_optimum_of_its_weighted_regularised_risk(spark):
+    """The gradient is written out in numpy: weighted log loss, ridge on standardised coefficients, free intercepts."""
+    import numpy as np
+
+    reg = 0.05
+    rows = _toy(spark).where("label <> 1 or Id % 3 = 0")  # unequal classes, so that the weights matter
+    df = FE.with_label_index(rows)
+    feats = with_class_weights(FE.feature_pipeline(min_df=1, min_doc_freq=0).fit(df).transform(df), "label").cache()
+    model = MO.logistic_regression(300, reg).setTol(1e-10).fit(feats)
+    got = feats.select("Id", "features", "label", "class_weight").orderBy("Id").collect()
+    x = np.stack([r.features.toArray() for r in got])
+    y = np.eye(3)[[r.label for r in got]]
+    w = np.array([r.class_weight for r in got])
+    beta, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    mean = w @ x / w.sum()
+    var = w @ (x - mean) ** 2 / (w.sum() - (w ** 2).sum() / w.sum())
+
+    def gradient(b, c):
+        z = x @ b.T + c
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        rest = (p - y) * w[:, None] / w.sum()
+        return p, rest.T @ x + reg * var * b, rest.sum(axis=0)
+
+    prob, slope, level = gradient(beta, bias)
+    start = gradient(np.zeros_like(beta), np.log(w @ y / w.sum()))[1]
+    assert len(set(np.round(w, 6))) > 1 and np.abs(slope).max() < 1e-4 * np.abs(start).max() and np.abs(level).max() < 1e-6
+    assert np.abs(gradient(beta, bias + [0.1, 0, 0])[2]).max() > 1e-3  # the check sees a model that is off
+    for r, p in zip(MO.predictions(model, feats).orderBy("Id").collect(), prob, strict=True):
+        assert np.abs(np.array(r.prob) - p).max() < 1e-9 and r.prediction == p.argmax() and r.confidence == max(r.prob)
+
+
+def test_forest_probability_is_the_mean_vote_of_its_trees(spark):
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    df = FE.with_label_index(_toy(spark))
+    feats = with_class_weights(FE.feature_pipeline(min_df=1, min_doc_freq=0).fit(df).transform(df), "label").cache()
+    model = MO.random_forest(7, 4).fit(feats)
+    votes = np.zeros((feats.count(), 3))
+    for tree in model.trees:
+        raw = tree.transform(feats).orderBy("Id").select(vector_to_array("rawPrediction").alias("raw")).collect()
+        leaf = np.array([r.raw for r in raw])
+        votes += leaf / leaf.sum(axis=1, keepdims=True)
+    got = MO.predictions(model, feats).orderBy("Id").collect()
+    assert len(model.trees) == 7 and max(t.depth for t in model.trees) <= 4
+    for r, v in zip(got, votes / 7, strict=True):
+        assert np.abs(np.array(r.prob) - v).max() < 1e-9 and r.prediction == v.argmax()
+    assert MO.evaluate(model, feats).collect()[0].f1_macro > 0.5
+
+
+def test_model_comparison_and_grid_equal_metrics_of_each_model_alone(spark):
+    """Each row's metrics come from counts of that model's own predictions, written out in Python."""
+    df = FE.with_label_index(_toy(spark))
+    feats = with_class_weights(FE.feature_pipeline(min_df=1, min_doc_freq=0).fit(df).transform(df), "label").cache()
+    train, val = feats.where("Id % 3 <> 0"), feats.where("Id % 3 = 0")
+
+    def alone(estimator):
+        got = [(r.label, r.prediction) for r in MO.predictions(estimator.fit(train), val).collect()]
+        f1 = []
+        for k in range(3):
+            hit, said, real = sum(a == b == k for a, b in got), sum(b == k for _, b in got), sum(a == k for a, _ in got)
+            f1.append((2 * hit / (said + real) if said + real else 0.0, real))
+        return sum(a == b for a, b in got) / len(got), sum(f * n for f, n in f1) / len(got)
+
+    want = {"logistic_regression": alone(MO.logistic_regression(30, 0.05)), "naive_bayes": alone(MO.naive_bayes(False)),
+            "random_forest": alone(MO.random_forest(5, 4))}
+    for r in MO.compare_models(train, val, 5, 4).collect():
+        assert abs(r.accuracy - want[r.model][0]) < 1e-4 and abs(r.f1_weighted - want[r.model][1]) < 1e-4
+    for r in MO.tune(train, val, ((5, 0.5), (20, 0.01))).collect():
+        acc, f1 = alone(MO.logistic_regression(r.max_iter, r.reg_param))
+        assert abs(r.accuracy - acc) < 1e-4 and abs(r.f1_weighted - f1) < 1e-4
+
+
 def test_threshold_override(spark):
     df = spark.createDataFrame([([0.4, 0.1, 0.5], 2), ([0.3, 0.1, 0.6], 2)], "prob array<double>, prediction int")
     got = [r.adjusted_prediction for r in MO.apply_negative_threshold(df, 0.35).collect()]
