@@ -248,6 +248,28 @@ def test_near_duplicates_of_a_repeated_id(spark):
         assert all(r.kept == (r.doc_id in (1, 8)) for r in got)
 
 
+def test_near_duplicates_in_a_crowd_that_shares_a_passage(spark):
+    """Every document holds the same passage (half of its words); pairs just above the threshold are all found, nothing else is linked."""
+    rng = np.random.default_rng(31)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows, want, above = [], {}, []
+    for i in range(1500):
+        own = [f"o{i}x{j}" for j in range(60)]
+        rows.append((2 * i, passage + " " + " ".join(own)))
+        want[2 * i] = 2 * i
+        if i % 5 == 0:
+            cut = int(rng.integers(10, 32))
+            rows.append((2 * i + 1, passage + " " + " ".join(own[:-cut] + [f"n{i}x{j}" for j in range(cut)])))
+            same, size = 116 - cut, 116
+            linked = 100 * same >= 75 * (2 * size - same)
+            above += [same / (2 * size - same)] * linked
+            want[2 * i + 1] = 2 * i if linked else 2 * i + 1
+    assert len(above) > 50 and min(above) < 0.77
+    frame = spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], SCHEMA).repartition(8)
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(spark, frame, block_docs=32).collect()}
+    assert got == want
+
+
 def test_chains_are_named_by_their_smallest_id():
     ids = pa.array([7, 3, 9, 2, 5, 5])
     assert lsh_forest._chain_heads(ids, np.array([1, 2, 4])).tolist() == [1, 1, 1, 3, 3, 5]
