@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from revlens.operators import metrics as M
 from revlens.plans.oracle_base import correct, month_of, rhu, status, with_fixtures
 from revlens.plans.registry import register
-from revlens.sources.fixtures import reviews
+from revlens.sources.fixtures import review_facts
 
 # ------------------------------------------------------------------- kpis
 KPIS_SQL = with_fixtures(
@@ -36,7 +36,7 @@ FROM a""",
 
 @register("kpis", KPIS_SQL, ("AG12", "AG11", "AG30", "PJ12", "FN14", "FN15"))
 def q_kpis(spark, sf_dir):
-    return M.kpis(reviews(spark, sf_dir))
+    return M.kpis(review_facts(spark, sf_dir))
 
 
 @register("insights", with_fixtures(
@@ -63,7 +63,7 @@ UNION ALL SELECT 3, 'INFO', 'Monitoring ' || CAST(unique_products AS VARCHAR) ||
 UNION ALL SELECT 4, 'INFO', 'Average rating: ' || CAST(avg_score AS VARCHAR) || '/5 stars' FROM k""",
     "reviews"), ("PJ16",))
 def q_insights(spark, sf_dir):
-    return M.insights(M.kpis(reviews(spark, sf_dir)))
+    return M.insights(M.kpis(review_facts(spark, sf_dir)))
 
 
 _COUNTS = """
@@ -90,7 +90,7 @@ FROM c""",
 
 @register("product_metrics", PRODUCT_METRICS_SQL, ("AG10", "PJ08", "SK03"))
 def q_product_metrics(spark, sf_dir):
-    return M.product_metrics(reviews(spark, sf_dir))
+    return M.product_metrics(review_facts(spark, sf_dir))
 
 
 def _health_sql(n="review_count"):
@@ -106,7 +106,7 @@ WITH c AS ({_COUNTS})
 SELECT ProductId, review_count, positive_count, negative_count, {_health_sql()}
 FROM c""", "reviews"), ("PJ09",))
 def q_product_status(spark, sf_dir):
-    return M.product_health(reviews(spark, sf_dir))
+    return M.product_health(review_facts(spark, sf_dir))
 
 
 @register("top_products", with_fixtures(
@@ -115,7 +115,7 @@ WITH c AS ({_COUNTS})
 SELECT ProductId AS product_id, review_count AS total, {_health_sql()}
 FROM c ORDER BY review_count DESC, ProductId LIMIT 6""", "reviews"), ("TK01",))
 def q_top_products(spark, sf_dir):
-    return M.top_products(reviews(spark, sf_dir), 6)
+    return M.top_products(review_facts(spark, sf_dir), 6)
 
 
 @register("top3_products", with_fixtures(
@@ -125,7 +125,7 @@ SELECT (SELECT count(*) FROM c) AS product_count, ProductId AS product_id, revie
        {rhu('positive_count', 'review_count', 100, 0)} AS positive_pct
 FROM c ORDER BY review_count DESC, ProductId LIMIT 3""", "reviews"), ("AG33",))
 def q_top3(spark, sf_dir):
-    return M.top3_report(reviews(spark, sf_dir), 3)
+    return M.top3_report(review_facts(spark, sf_dir), 3)
 
 
 _WATCHLIST_CTES = f"""
@@ -140,7 +140,7 @@ w AS (SELECT * FROM p ORDER BY health_score ASC, product_id ASC LIMIT 50)"""
 
 @register("watchlist", with_fixtures(f"WITH {_WATCHLIST_CTES} SELECT * FROM w", "reviews"), ("AG20", "TK04", "PJ11", "PJ13", "SC06"))
 def q_watchlist(spark, sf_dir):
-    return M.watchlist(reviews(spark, sf_dir), "health_score", "asc")
+    return M.watchlist(review_facts(spark, sf_dir), "health_score", "asc")
 
 
 @register("watchlist_status_counts", with_fixtures(
@@ -150,7 +150,7 @@ SELECT count(*) FILTER (WHERE status = 'ALERT') AS alerts,
        count(*) FILTER (WHERE status = 'OK') AS oks
 FROM w""", "reviews"), ("AG20",))
 def q_watchlist_status_counts(spark, sf_dir):
-    return M.watchlist_status_counts(M.watchlist(reviews(spark, sf_dir)))
+    return M.watchlist_status_counts(M.watchlist(review_facts(spark, sf_dir)))
 
 
 @register("product_picker", with_fixtures(
@@ -163,7 +163,7 @@ SELECT c.ProductId AS product_id, c.review_count, CAST(h.shortcut_rank AS INTEGE
        greatest((SELECT count(*) FROM c) - 10, 0) AS remaining
 FROM c LEFT JOIN h ON c.ProductId = h.ProductId""", "reviews"), ("TK03",))
 def q_product_picker(spark, sf_dir):
-    return M.product_picker(reviews(spark, sf_dir), 10)
+    return M.product_picker(review_facts(spark, sf_dir), 10)
 
 
 @register("product_card", with_fixtures(
@@ -175,7 +175,7 @@ SELECT ProductId AS product_id, review_count AS total, positive_count, negative_
        {status('positive_count', 'negative_count', 'review_count')} AS status
 FROM c""", "reviews"), ("AG24", "AG22", "FN21"))
 def q_product_card(spark, sf_dir):
-    return M.product_card(reviews(spark, sf_dir))
+    return M.product_card(review_facts(spark, sf_dir))
 
 
 @register("product_recent_reviews", with_fixtures(
@@ -185,7 +185,7 @@ SELECT ProductId, Id, Score, predicted_sentiment, confidence, processed_at, CAST
          row_number() OVER (PARTITION BY ProductId ORDER BY processed_at DESC, Id DESC) AS rank
   FROM reviews) WHERE rank <= 10""", "reviews"), ("TK02",))
 def q_recent(spark, sf_dir):
-    return M.product_recent_reviews(reviews(spark, sf_dir), 10)
+    return M.product_recent_reviews(review_facts(spark, sf_dir), 10)
 
 
 @register("score_sentiment_mismatch", with_fixtures(
@@ -197,7 +197,7 @@ SELECT ProductId, Id, Score, predicted_sentiment, processed_at, score_sentiment,
                        WHEN Score BETWEEN 4 AND 5 THEN 'positive' END AS score_sentiment FROM reviews)
   WHERE score_sentiment <> predicted_sentiment) WHERE rank <= 5""", "reviews"), ("FL09",))
 def q_mismatch(spark, sf_dir):
-    return M.score_sentiment_mismatch(reviews(spark, sf_dir), 5)
+    return M.score_sentiment_mismatch(review_facts(spark, sf_dir), 5)
 
 
 @register("score_distribution", with_fixtures(
@@ -209,7 +209,7 @@ SELECT CAST(s.star AS INTEGER) AS star, CAST(coalesce(a.c, 0) AS BIGINT) AS coun
        {rhu('coalesce(a.c, 0)', 't.total', 100, 1)} AS pct
 FROM s LEFT JOIN a ON a.Score = s.star, t""", "reviews"), ("AG21",))
 def q_score_distribution(spark, sf_dir):
-    return M.score_distribution(reviews(spark, sf_dir))
+    return M.score_distribution(review_facts(spark, sf_dir))
 
 
 def _trend_sql(by_product: bool) -> str:
@@ -229,12 +229,12 @@ SELECT {'ProductId AS product_id, ' if by_product else ''}month, negative, neutr
 
 @register("monthly_trend", _trend_sql(False), ("AG14", "TK06", "FN11"))
 def q_monthly_trend(spark, sf_dir):
-    return M.monthly_trend(reviews(spark, sf_dir), 12)
+    return M.monthly_trend(review_facts(spark, sf_dir), 12)
 
 
 @register("product_trend", _trend_sql(True), ("AG23",))
 def q_product_trend(spark, sf_dir):
-    return M.product_trend(reviews(spark, sf_dir), 12)
+    return M.product_trend(review_facts(spark, sf_dir), 12)
 
 
 @register("helpfulness", with_fixtures(
@@ -248,7 +248,7 @@ g AS (
   SELECT 'all', count(*), sum(HelpfulnessNumerator), sum(HelpfulnessDenominator) FROM r)
 SELECT sentiment, rated_reviews, {rhu('num', 'den', 100, 1)} AS helpful_pct FROM g""", "reviews"), ("AG25",))
 def q_helpfulness(spark, sf_dir):
-    return M.helpfulness(reviews(spark, sf_dir))
+    return M.helpfulness(review_facts(spark, sf_dir))
 
 
 @register("session_stats", with_fixtures(
@@ -264,7 +264,7 @@ SELECT cnt AS count, {rhu('p', 'cnt', 100, 0)} AS positive_pct, {rhu('n', 'cnt',
        round(CAST(conf * 100 AS DOUBLE) / cnt, 1) AS avg_confidence_pct
 FROM a""", "reviews"), ("AG31", "ST09"))
 def q_session_stats(spark, sf_dir):
-    return M.session_stats(reviews(spark, sf_dir))
+    return M.session_stats(review_facts(spark, sf_dir))
 
 
 _BATCHES = f"""
@@ -284,7 +284,7 @@ FROM b""",
 
 @register("batch_accuracy", BATCH_SQL, ("AG13", "FL06", "ST06", "SK04", "SC08"))
 def q_batch_accuracy(spark, sf_dir):
-    return M.batch_metrics(reviews(spark, sf_dir))
+    return M.batch_metrics(review_facts(spark, sf_dir))
 
 
 @register("latest_batch_metric", with_fixtures(
@@ -294,7 +294,7 @@ SELECT batch_id, {rhu('correct_predictions', 'total_processed', 1, 4)} AS accura
        total_processed, correct_predictions, 'models/final' AS model_path, processed_at
 FROM b ORDER BY processed_at DESC, batch_id DESC LIMIT 1""", "reviews"), ("SC07", "AG32"))
 def q_latest_batch(spark, sf_dir):
-    return M.latest_batch_metric(M.batch_metrics(reviews(spark, sf_dir)))
+    return M.latest_batch_metric(M.batch_metrics(review_facts(spark, sf_dir)))
 
 
 @register("pipeline_health", with_fixtures(
@@ -319,4 +319,4 @@ SELECT total, positive_count, negative_count, neutral_count,
        coalesce(total, 0) > 0 AS has_reviews, batches > 0 AS has_metrics
 FROM g, l""", "reviews"), ("AG29",))
 def q_pipeline_health(spark, sf_dir):
-    return M.pipeline_health(reviews(spark, sf_dir))
+    return M.pipeline_health(review_facts(spark, sf_dir))

@@ -8,11 +8,11 @@ from revlens.functions.labels import score_label, sentiment_index
 from revlens.operators import evaluate as E
 from revlens.plans.oracle_base import index_of, label_of, name_of, with_fixtures
 from revlens.plans.registry import register
-from revlens.sources.fixtures import reviews
+from revlens.sources.fixtures import review_facts
 
 
 def _pairs(spark, sf_dir):
-    r = reviews(spark, sf_dir)
+    r = review_facts(spark, sf_dir)
     return r.select(score_label("Score").alias("label"), sentiment_index("predicted_sentiment").alias("prediction"))
 
 

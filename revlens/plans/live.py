@@ -9,7 +9,7 @@ from revlens.plans.oracle_base import rhu, with_fixtures
 from revlens.plans.registry import register
 from revlens.session import scratch_path
 from revlens.sources.files import parse_messages, table, to_messages
-from revlens.sources.fixtures import reviews
+from revlens.sources.fixtures import review_facts
 from revlens.streaming import live_feed as LF
 from revlens.streaming import product_state as PS
 from revlens.streaming.scoring import file_message_stream
@@ -33,7 +33,7 @@ def q_stream_product_state(spark, sf_dir):
     """Scored events in two legs: the query ends after the first, is started again from its checkpoint and goes on
     with what has arrived since; the keyed table then holds the totals of both."""
     src, ckpt = scratch_path(spark, "events-src"), scratch_path(spark, "stream-ckpt")
-    events = to_messages(reviews(spark, sf_dir).select(*PS.SCORED_EVENT.names))
+    events = to_messages(review_facts(spark, sf_dir).select(*PS.SCORED_EVENT.names))
     table_ = PS.state_table(spark, scratch_path(spark, "product-state"))
     for leg in range(2):
         events.where(F.pmod(F.xxhash64("value"), F.lit(2)) == leg).write.mode("append").text(src)

@@ -11,7 +11,7 @@ from revlens.operators.metrics import kpis_json
 from revlens.plans.oracle_base import bucket_of, clean, full_text, label_of, name_of, rhu, split_of, with_fixtures
 from revlens.plans.registry import register
 from revlens.sources.files import table
-from revlens.sources.fixtures import dirty_text, document_text, review_text, reviews
+from revlens.sources.fixtures import dirty_text, document_text, review_facts, review_text, reviews
 from revlens.sources.review_store import keyed_reviews, product_table
 from revlens.sources.schemas import SCORED_COLUMNS
 
@@ -82,7 +82,7 @@ def q_products_with_reviews(spark, sf_dir):
 @register("score_label", with_fixtures(
     f"SELECT Id, Score, {label_of()} AS label, {name_of(label_of())} AS sentiment FROM reviews", "reviews"), ("PJ06", "PJ07"))
 def q_score_label(spark, sf_dir):
-    r = reviews(spark, sf_dir)
+    r = review_facts(spark, sf_dir)
     lab = L.score_label("Score")
     return r.select("Id", "Score", lab.alias("label"), L.label_name(lab).alias("sentiment"))
 
@@ -101,7 +101,7 @@ SELECT Id, raw_score,
 FROM (SELECT Id, {_RAW_SCORE.format(s='VARCHAR')} AS raw_score FROM reviews)""", "reviews"), ("PJ02", "FN17", "UD01"))
 def q_score_try_cast(spark, sf_dir):
     """Star ratings arriving as text ('4.0', ' 4', 'x4', '-4', '4')."""
-    r = reviews(spark, sf_dir).select("Id", F.expr(_RAW_SCORE.format(s="STRING")).alias("raw_score"))
+    r = review_facts(spark, sf_dir).select("Id", F.expr(_RAW_SCORE.format(s="STRING")).alias("raw_score"))
     return r.select("Id", "raw_score", L.parse_score("raw_score").alias("score"))
 
 
@@ -112,7 +112,7 @@ SELECT Id, confidence,
        CASE WHEN confidence > 0.8 THEN 'high' WHEN confidence > 0.65 THEN 'medium' ELSE 'low' END AS band_product
 FROM reviews""", "reviews"), ("PJ14",))
 def q_confidence_band(spark, sf_dir):
-    r = reviews(spark, sf_dir)
+    r = review_facts(spark, sf_dir)
     return r.select(
         "Id", "confidence", L.confidence_band("confidence").alias("band_live"),
         L.confidence_band("confidence", 0.8, 0.65, strict=True).alias("band_product"),
@@ -135,7 +135,7 @@ SELECT Id, Time, CAST(year(make_timestamp(Time * 1000000)) AS INTEGER) AS year,
        strftime(make_timestamp(Time * 1000000), '%Y-%m') AS month_key
 FROM reviews""", "reviews"), ("FN11",))
 def q_epoch_month(spark, sf_dir):
-    r = reviews(spark, sf_dir)
+    r = review_facts(spark, sf_dir)
     ts = F.timestamp_seconds("Time")
     return r.select("Id", "Time", F.year(ts).alias("year"), F.month(ts).alias("month"), F.date_format(ts, "yyyy-MM").alias("month_key"))
 
@@ -187,13 +187,13 @@ def q_dedup(spark, sf_dir):
     f"SELECT DISTINCT {label_of()} AS label, {name_of(label_of())} AS sentiment FROM reviews", "reviews"), ("SO02", "AG28"))
 def q_distinct_labels(spark, sf_dir):
     lab = L.score_label("Score")
-    return reviews(spark, sf_dir).select(lab.alias("label"), L.label_name(lab).alias("sentiment")).distinct()
+    return review_facts(spark, sf_dir).select(lab.alias("label"), L.label_name(lab).alias("sentiment")).distinct()
 
 
 @register("stratified_split", with_fixtures(
     f"SELECT Id, {label_of()} AS label, {split_of()} AS split FROM reviews", "reviews"), ("SO04",))
 def q_split(spark, sf_dir):
-    r = reviews(spark, sf_dir).select("Id", L.score_label("Score").alias("label"))
+    r = review_facts(spark, sf_dir).select("Id", L.score_label("Score").alias("label"))
     return PR.assign_split(r)
 
 
@@ -204,13 +204,13 @@ SELECT Id, label FROM (
   FROM (SELECT Id, {label_of()} AS label FROM reviews)) WHERE rn <= floor(n * 20 / 100)""", "reviews"), ("SO04", "SO06"))
 def q_stratified_sample(spark, sf_dir):
     """A fifth of each class, exact in size and the same at every partitioning."""
-    return PR.stratified_sample_exact(reviews(spark, sf_dir).select("Id", L.score_label("Score").alias("label")), "label", "Id", 20)
+    return PR.stratified_sample_exact(review_facts(spark, sf_dir).select("Id", L.score_label("Score").alias("label")), "label", "Id", 20)
 
 
 @register("test_split_rows", with_fixtures(
     f"SELECT Id, {label_of()} AS label, Score FROM reviews WHERE {split_of()} = 'test'", "reviews"), ("FL17",))
 def q_test_rows(spark, sf_dir):
-    r = PR.assign_split(reviews(spark, sf_dir).select("Id", L.score_label("Score").alias("label"), "Score"))
+    r = PR.assign_split(review_facts(spark, sf_dir).select("Id", L.score_label("Score").alias("label"), "Score"))
     return r.where(F.col("split") == "test").drop("split")
 
 
@@ -220,7 +220,7 @@ SELECT Id, split FROM (SELECT Id, {split_of()} AS split FROM reviews) WHERE spli
 UNION ALL
 SELECT Id, split FROM (SELECT Id, {split_of()} AS split FROM reviews) WHERE split = 'val'""", "reviews"), ("SO03",))
 def q_train_val_union(spark, sf_dir):
-    s = PR.assign_split(reviews(spark, sf_dir).select("Id"))
+    s = PR.assign_split(review_facts(spark, sf_dir).select("Id"))
     return PR.union_splits(s.where(F.col("split") == "train"), s.where(F.col("split") == "val"))
 
 
@@ -242,7 +242,7 @@ SELECT split, rows, {rhu('rows', 'total', 100, 1)} AS share_pct,
        {rhu('c2', 'rows', 100, 1)} AS class2_pct
 FROM g, t""", "reviews"), ("AG27",))
 def q_split_report(spark, sf_dir):
-    r = PR.assign_split(reviews(spark, sf_dir).select("Id", L.score_label("Score").alias("label")))
+    r = PR.assign_split(review_facts(spark, sf_dir).select("Id", L.score_label("Score").alias("label")))
     return PR.split_report(r)
 
 
@@ -266,7 +266,7 @@ def q_class_weighted_rows(spark, sf_dir):
 
 @register("api_kpis_json", None, ("SK10",))
 def q_api_kpis_json(spark, sf_dir):
-    return kpis_json(reviews(spark, sf_dir))
+    return kpis_json(review_facts(spark, sf_dir))
 
 
 @register("retrain_gate", with_fixtures(
@@ -303,7 +303,7 @@ ORDER BY processed_at, Id LIMIT 10""", "reviews"), ("FL12", "TK05", "TK12", "FL1
 def q_feed_page(spark, sf_dir):
     from revlens.operators.feed import feed_page
 
-    r = reviews(spark, sf_dir).select("Id", "ProductId", "predicted_sentiment", "processed_at")
+    r = review_facts(spark, sf_dir).select("Id", "ProductId", "predicted_sentiment", "processed_at")
     return feed_page(r, "1998-06-01 00:00:00", 5000, 10)
 
 

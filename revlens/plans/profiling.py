@@ -9,7 +9,7 @@ from revlens.operators import profile as P
 from revlens.plans.oracle_base import MLLIB_STOP_SQL, clean, full_text, label_of, name_of, rhu, with_fixtures
 from revlens.plans.registry import register
 from revlens.sources.files import table
-from revlens.sources.fixtures import reviews
+from revlens.sources.fixtures import review_facts, reviews
 from revlens.sources.schemas import SCORED_COLUMNS
 
 _NULL_UNION = "\nUNION ALL ".join(
@@ -40,7 +40,7 @@ t AS (SELECT sum(count) AS total FROM g)
 SELECT label, {name_of('label')} AS sentiment, count, {rhu('count', 'total', 100, 1)} AS pct FROM g, t""", "reviews"),
     ("AG03", "TK11"))
 def q_label_distribution(spark, sf_dir):
-    return P.class_distribution(reviews(spark, sf_dir), score_label("Score"))
+    return P.class_distribution(review_facts(spark, sf_dir), score_label("Score"))
 
 
 @register("text_length_summary", with_fixtures(
@@ -121,7 +121,7 @@ def q_row_bytes(spark, sf_dir):
 @register("sample_rows", None, ("SO06",))
 def q_sample_rows(spark, sf_dir):
     """SO06: Bernoulli 10% sample with a fixed seed (a sampling operator)."""
-    return reviews(spark, sf_dir).sample(fraction=0.10, seed=42).select("Id", "ProductId", "Score")
+    return review_facts(spark, sf_dir).sample(fraction=0.10, seed=42).select("Id", "ProductId", "Score")
 
 
 @register("event_props", """
@@ -139,7 +139,7 @@ def q_distinct_sketches(spark, sf_dir):
     within 3.3 % (two) of what another cut of the rows into batches gives (the estimator depends on the order of merging, the bound doesn't)."""
     from revlens.operators import sketches as SK
 
-    r = reviews(spark, sf_dir).select("ProductId", "UserId", F.date_format("processed_at", "yyyy-MM").alias("month"))
+    r = review_facts(spark, sf_dir).select("ProductId", "UserId", F.date_format("processed_at", "yyyy-MM").alias("month"))
     names = {"products": "ProductId", "users": "UserId"}
     months = SK.distinct_estimates(SK.batch_summaries(r, "month", names), list(names))
     halves = SK.distinct_estimates(SK.batch_summaries(r.withColumn("half", F.pmod(F.xxhash64("UserId"), F.lit(2))), "half", names), list(names))

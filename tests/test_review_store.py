@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from revlens.session import local_path, scratch_path
-from revlens.sources.fixtures import reviews, reviews_view
-from revlens.sources.review_store import hot_products, write_bucketed
+from revlens.sources.fixtures import review_facts, reviews, reviews_view
+from revlens.sources.review_store import hot_products, published_facts, write_bucketed
 
 from .conftest import SF_SMALL
 
@@ -67,3 +67,28 @@ def test_text_work_has_several_tasks(spark):
 def test_empty_and_keyless_rows(spark):
     rows = spark.createDataFrame([], "Id int, ProductId string, processed_at timestamp_ntz")
     assert write_bucketed(rows, scratch_path(spark, "none"), "no_reviews_test", 4).count() == 0
+
+
+def _tables(spark, d, texts):
+    """60 orders over documents of which ids repeat, are null and are missing; every third order has no line."""
+    spark.range(1, 61).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate").write.parquet(f"{d}/orders.parquet")
+    spark.range(1, 181).selectExpr("id % 60 + 1 AS l_orderkey", "id AS l_partkey", "'N' AS l_returnflag").where("l_orderkey % 3 > 0").write.parquet(
+        f"{d}/lineitem.parquet")
+    spark.range(1, 5).selectExpr("id AS c_custkey", "concat('c', id) AS c_name").write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
+
+
+def test_texts_are_not_stored_with_the_reviews_and_join_by_every_repeated_id(spark, tmp_path):
+    texts = [(0, "a" * 50), (1, "b"), (1, "b"), (1, "c"), (2, None), (3, ""), (None, "z"), (4, "d e"), (17, "far")]
+    _tables(spark, tmp_path, texts)
+    want = [(o, t and t[:40] if o % 13 else None, t) for o in range(1, 61) if o % 3 for k, t in texts if k == o % len(texts)]
+    d = str(tmp_path)
+    got = reviews(spark, d)
+    key = lambda r: (r[0], r[2] or "", r[2] is None)
+    assert sorted(map(tuple, got.select("Id", "Summary", "Text").collect()), key=key) == sorted(want, key=key)
+    facts = review_facts(spark, d)
+    assert sorted(r.Id for r in facts.select("Id").collect()) == sorted(w[0] for w in want)
+    assert E.queries()["kpis"](spark, d).first().total == len(want)
+    assert not {"Text", "Summary"} & set(published_facts(spark, d).columns)
+    for name in ("distinct_labels", "confusion_matrix", "batch_accuracy", "insights", "product_trend", "confidence_band"):
+        assert "documents" not in _plan(E.queries()[name](spark, d)), name
