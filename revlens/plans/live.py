@@ -8,7 +8,7 @@ from revlens.operators.feed import feed_after, parse_cursor, start_cursor
 from revlens.plans.oracle_base import rhu, with_fixtures
 from revlens.plans.registry import register
 from revlens.session import scratch_path
-from revlens.sources.files import parse_messages, table, to_messages
+from revlens.sources.files import parse_messages, table, to_messages, write_messages_text
 from revlens.sources.fixtures import review_facts
 from revlens.streaming import live_feed as LF
 from revlens.streaming import product_state as PS
@@ -36,7 +36,7 @@ def q_stream_product_state(spark, sf_dir):
     events = to_messages(review_facts(spark, sf_dir).select(*PS.SCORED_EVENT.names))
     table_ = PS.state_table(spark, scratch_path(spark, "product-state"))
     for leg in range(2):
-        events.where(F.pmod(F.xxhash64("value"), F.lit(2)) == leg).write.mode("append").text(src)
+        write_messages_text(events.where(F.pmod(F.xxhash64("value"), F.lit(2)) == leg), src, mode="append")
         messages = file_message_stream(spark, src, FILES_PER_TRIGGER)
         q = PS.start_product_state(parse_messages(messages, PS.SCORED_EVENT).drop("value"), table_, ckpt)
         q.awaitTermination()

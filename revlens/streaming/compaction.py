@@ -37,9 +37,10 @@ def compact(spark: SparkSession, out: str, name: str, upto: int, max_records: in
         return generation
     rows = current(spark, out, name).where(F.col("batch_id") <= upto)
     files = max(1, -(-rows.count() // max_records))
-    # dealt evenly; rows of a batch stay near each other, so that filters on batch_id skip row groups
-    rows = rows.repartitionByRange(files, "batch_id", F.xxhash64(*rows.columns)).sortWithinPartitions("batch_id")
-    rows.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(f"{out}/{name}_packed/generation={generation + 1}")
+    # the scan's partitions, even by size, are put together without a shuffle, so packing needs no room but its output's;
+    # rows of a batch's file stay together, so that filters on batch_id skip row groups
+    rows = rows.coalesce(files)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", max_records).option("compression", "zstd").parquet(f"{out}/{name}_packed/generation={generation + 1}")
     entry = spark.createDataFrame([(upto, generation + 1)], _MANIFEST).coalesce(1)
     entry.write.mode("append").partitionBy("generation").parquet(f"{out}/{name}_manifest")
     return generation + 1

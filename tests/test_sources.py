@@ -22,3 +22,30 @@ def test_json_messages_roundtrip(spark):
     df = spark.createDataFrame(data, RAW_REVIEW)
     back = parse_messages(to_messages(df), RAW_REVIEW).select(*RAW_COLUMNS)
     assert [tuple(r) for r in back.collect()] == data
+
+
+def test_messages_and_csv_lie_in_compressed_files_of_bounded_size(spark, monkeypatch):
+    import glob
+    import gzip
+
+    from revlens.session import local_path, scratch_path
+    from revlens.sources import files as FS
+    from revlens.sources.schemas import RAW_REVIEW
+
+    monkeypatch.setattr(FS, "MESSAGES_PER_FILE", 40)
+    monkeypatch.setattr(FS, "ROWS_PER_CSV", 30)
+    rows = spark.range(100).selectExpr("CAST(id AS INT) AS Id", "'P1' AS ProductId", "'U' AS UserId", "CAST(null AS STRING) AS ProfileName",
+                                       "1 AS HelpfulnessNumerator", "2 AS HelpfulnessDenominator", "5 AS Score", "id AS Time",
+                                       "'a \"quoted\" title' AS Summary", "repeat('line one,\nline two ', 200) AS Text").coalesce(1)
+    path = scratch_path(spark, "t-messages")
+    FS.write_messages_text(FS.to_messages(rows), path)
+    found = glob.glob(f"{local_path(path)}/part-*")
+    sizes = [len(gzip.open(f).read().splitlines()) for f in found]
+    assert sorted(sizes) == [20, 40, 40]
+    got = FS.parse_messages(spark.read.text(path), RAW_REVIEW).drop("value")
+    assert got.exceptAll(rows).isEmpty() and got.count() == 100
+    csv = scratch_path(spark, "t-csv")
+    FS.write_review_csv(rows, csv)
+    assert len(glob.glob(f"{local_path(csv)}/part-*.gz")) == 4
+    back = FS.csv_to_parquet(spark, csv, scratch_path(spark, "t-csv-parquet"))
+    assert back.count() == 100 and back.exceptAll(rows).isEmpty()

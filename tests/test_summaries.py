@@ -77,3 +77,20 @@ def test_fits_overlap_and_choose_as_the_loop_does(spark):
     assert side.drop("fit_seconds").exceptAll(loop.drop("fit_seconds")).isEmpty()
     cv = MO.cross_validate(train, grid, folds=2)
     assert cv.count() == 3 and cv.where("f1_mean between 0 and 1").count() == 3
+
+
+def test_packing_moves_no_row_through_a_shuffle(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    out, plans, write = scratch_path(spark, "t-pack"), [], DataFrameWriter.parquet
+
+    def seen(self, path, *args, **kw):
+        if "_packed" in path:
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **kw)
+
+    spark.range(500).selectExpr("id AS Id", "id % 10 AS batch_id").repartition(3).write.partitionBy("batch_id").parquet(f"{out}/reviews")
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    assert compact(spark, out, "reviews", 8, 100) == 0
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert current(spark, out, "reviews").count() == 500
