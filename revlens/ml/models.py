@@ -39,6 +39,13 @@ def random_forest(num_trees: int = 50, max_depth: int = 10, seed: int = 42) -> R
                                   numTrees=num_trees, maxDepth=max_depth, seed=seed)
 
 
+def in_small_tasks(train: DataFrame, rows: int = 4000) -> DataFrame:
+    """``train`` in at least a partition per ``rows`` rows, for the forest: MLlib keeps a bin number per feature of each row, zero or not
+    (80 KB a row at 20,000 features), so a partition that is small as a file is some hundred times larger there."""
+    tasks = -(-train.count() // rows)
+    return train if train.rdd.getNumPartitions() >= tasks else train.repartition(tasks, "Id")
+
+
 def predictions(model, df: DataFrame) -> DataFrame:
     """Id, label, prediction, probability array, confidence."""
     p = model.transform(df)
@@ -67,7 +74,7 @@ def compare_models(train: DataFrame, val: DataFrame, rf_trees: int = 50, rf_dept
         ("naive_bayes", naive_bayes(False)),
         ("random_forest", random_forest(rf_trees, rf_depth)),
     ):
-        m, secs = fit_timed(est, train)
+        m, secs = fit_timed(est, in_small_tasks(train) if name == "random_forest" else train)
         rows.append(evaluate(m, val).select(F.lit(name).alias("model"), "*", F.lit(round(secs, 3)).alias("fit_seconds")))
     out = rows[0]
     for r in rows[1:]:

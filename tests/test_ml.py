@@ -8,6 +8,8 @@ from revlens.operators import evaluate as E
 from revlens.operators.prep import with_class_weights
 from revlens.operators.words import term_arrays
 
+from .conftest import SF_SMALL
+
 
 def _toy(spark):
     pos = ["great tasty coffee love it", "love this great tea", "excellent tasty snack love", "great value love flavor"]
@@ -165,3 +167,24 @@ def test_bayes_probabilities_of_far_apart_scores_and_metrics_by_part(spark):
     for part in ("a", "b", None):
         alone = E.eval_metrics(cells.where(F.col("part").eqNullSafe(F.lit(part)))).first()
         assert whole[part] == tuple(alone)
+
+
+def test_texts_are_cleaned_once_for_every_fit(spark):
+    from revlens.operators import prep as PR
+    from revlens.plans.ml_plans import prepared
+    from revlens.sources.fixtures import review_text
+
+    rows = prepared(spark, SF_SMALL)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and "documents.parquet" not in plan and "Join" not in plan
+    fresh = PR.assign_split(PR.min_length(PR.with_cleaned_text(review_text(spark, SF_SMALL))).select("Id", "cleaned_text", "label"))
+    assert rows.columns == fresh.columns and rows.count() == fresh.count() > 0
+    assert rows.exceptAll(fresh).isEmpty()
+
+
+def test_the_forest_is_fitted_in_tasks_of_bounded_rows(spark):
+    rows = spark.range(1000).withColumnRenamed("id", "Id").coalesce(2)
+    small = MO.in_small_tasks(rows, 100)
+    sizes = [r["count"] for r in small.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert small.rdd.getNumPartitions() == 10 and max(sizes) < 200 and sum(sizes) == 1000
+    assert MO.in_small_tasks(rows, 600) is rows
