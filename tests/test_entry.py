@@ -74,3 +74,37 @@ def test_vocabulary_moves_terms_once_and_counts_repeats(spark):
     v = vocabulary(df, "w", min_df=1)
     assert v._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert {(r.term, r.term_freq, r.doc_freq) for r in v.collect()} == {("a", 3, 2), ("b", 1, 1)}
+
+
+def test_vocabulary_is_counted_in_tasks_of_bounded_text(spark, tmp_path, monkeypatch):
+    """One file of one row group: its texts are dealt to tasks by their bytes, and terms merged in as many; counts stay whole."""
+    import re
+    from collections import Counter
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from revlens.operators import words as W
+    from revlens.sources.fixtures import document_text
+
+    name = lambda i: "zq" + "".join(chr(97 + int(c)) for c in str(i))
+    texts = [" ".join(name((i * 31 + j * j) % 97) for j in range(40)) for i in range(300)] + ["Red  Apple, red apple! 7 red"] * 200 + [None, "", "the", "red"]
+    ids = [None if i % 50 == 7 else i % 180 for i in range(len(texts) - 1)] + [1 << 40]
+    pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string()), "source": ["s"] * len(ids)}), tmp_path / "documents.parquet")
+    total = sum(len(t or "") for t in texts)
+    monkeypatch.setattr(W, "COUNT_BYTES", 2048, raising=False)
+    monkeypatch.setattr(W, "MERGE_BYTES", 4096, raising=False)
+    for key, n in (("vocabulary", 1), ("vocabulary_bigram", 2)):
+        tf, df = Counter(), Counter()
+        for t in texts:
+            w = [x for x in re.sub("[^a-z]+", " ", (t or "").lower()).split() if x != "the"]
+            terms = [" ".join(w[i:i + n]) for i in range(len(w) - n + 1)]
+            tf.update(terms)
+            df.update(set(terms))
+        want = sorted(((t, c, df[t]) for t, c in tf.items() if df[t] >= 5), key=lambda r: (-r[1], r[0]))[:10000]
+        v = E.queries()[key](spark, str(tmp_path))
+        assert [tuple(r) for r in v.orderBy("index").collect()] == [(*r, i) for i, r in enumerate(want)]
+        moved = [int(x) for x in re.findall(r"Exchange .*?, (\d+)\), REPARTITION_BY_NUM", v._jdf.queryExecution().executedPlan().toString())]
+        assert len(moved) == 2 and max(moved) >= total // 2048 and min(moved) >= total // 4096, (key, moved)
+    sizes = W.dealt_terms(document_text(spark, str(tmp_path)), max(moved)).groupBy("part").count().toPandas()["count"]
+    assert sizes.sum() == len(texts) and sizes.max() <= 4 * len(texts) / max(moved)
