@@ -188,3 +188,29 @@ def test_the_forest_is_fitted_in_tasks_of_bounded_rows(spark):
     sizes = [r["count"] for r in small.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert small.rdd.getNumPartitions() == 10 and max(sizes) < 200 and sum(sizes) == 1000
     assert MO.in_small_tasks(rows, 600) is rows
+
+
+def test_words_meet_the_bayes_model_where_they_are_read(spark):
+    """Without a size to go by (as in a large run) no word is moved to meet the model, and the texts are read once for words and pairs."""
+    from revlens.ml import bayes as NB
+
+    rows = NB.with_terms(_toy(spark))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vocab = NB.weighted_vocabulary(rows, 2)
+        terms = NB.document_terms(rows, vocab)
+        plan = terms._jdf.queryExecution().executedPlan().toString()
+        words = plan[:plan.index("BroadcastExchange")]  # above the vocabulary's own plan
+        assert "BroadcastHashJoin" in words and "SortMergeJoin" not in words and "Exchange" not in words
+        got = {tuple(r) for r in terms.groupBy("Id", "kind", "term").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    known = {(r.kind, r.term) for r in vocab.collect()}
+    want = {}
+    for r in rows.collect():
+        for kind, found in (("u", r.words_filtered), ("b", r.bigrams)):
+            for t in found:
+                if (kind, t) in known:
+                    want[r.Id, kind, t] = want.get((r.Id, kind, t), 0) + 1
+    assert got == {(*k, n) for k, n in want.items()} and {k for _, k, _ in want} == {"u", "b"}
