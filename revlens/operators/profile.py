@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from revlens.functions.constants import LENGTH_BINS, LENGTH_CAP
 from revlens.functions.labels import label_name
 from revlens.functions.numeric import exact_stddev_sql, ratio_half_up
-from revlens.functions.text import clean_text, explode_rows, full_text, tokens, without_stop_words
+from revlens.functions.constants import MLLIB_ENGLISH_STOP_WORDS
+from revlens.functions.text import clean_words, full_text
 from revlens.operators.topk import top_k_per_group
 
 
@@ -99,9 +100,8 @@ def text_length_quartiles(df: DataFrame, label: Column, text: str = "Text", cap:
 
 def words_by_class(df: DataFrame, label: Column, stop_words=None) -> DataFrame:
     """(label, word) rows: cleaned Summary+Text, tokens, MLlib stop words out."""
-    toks = tokens(clean_text(full_text("Summary", "Text")))
-    kept = without_stop_words(toks) if stop_words is None else without_stop_words(toks, stop_words)
-    return df.select(label.alias("label"), *explode_rows(kept, "word")).where(F.col("word").isNotNull())
+    words, kept = clean_words(full_text("Summary", "Text"), "word", MLLIB_ENGLISH_STOP_WORDS if stop_words is None else stop_words)
+    return df.select(label.alias("label"), *words).where(kept)
 
 
 def top_words_by_class(df: DataFrame, label: Column, k: int = 20) -> DataFrame:

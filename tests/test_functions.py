@@ -78,3 +78,33 @@ def test_is_correct_null_score_counts_as_wrong(spark):
     df = spark.createDataFrame([("positive", 5), ("negative", 2), ("neutral", 3), ("neutral", None)], "p string, s int")
     got = [r.c for r in df.select(L.is_correct("p", "s").alias("c")).collect()]
     assert got == [True, True, True, False]
+
+
+def test_cleaning_is_the_chain_of_the_fixed_patterns(spark):
+    from revlens.functions import constants as K
+
+    texts = [None, "", " ", "<>", "<b>x</b> a<b", "HTTP://A.b/c?d e", "xhttps://y z", "http:/ /", "ahttp:// b", "www. www.x wwww.y\tz", "hwww.q r", "http://a<b>c", "<a href='http://x'>go</a>",
+             "\u00c9t\u00e9 na\u00efve \u0130stanbul", "a\u00a0b\u2003c\x0bd\x0ce\r\nf", "\U0001f600a\U0001f600", "1a2", "a  b ", "-a-", "https://", "https:// www.", "hhttp://k wwww.k", "a" * 50 + "1" * 50]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.lower("t")
+    for pattern in (K.TAG_PATTERN, K.URL_PATTERN, K.NON_LETTER_PATTERN, K.BLANKS_PATTERN):
+        want = F.regexp_replace(want, pattern, " ")
+    rows = df.select("t", F.trim(want).alias("want"), T.clean_text("t").alias("got")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    words, kept = T.clean_words(F.col("t"), "w", ("a", "b"))
+    got = sorted(r.w for r in df.select(*words).where(kept).collect())
+    assert got == sorted(w for r in rows if r.want for w in r.want.split(" ") if w and w not in ("a", "b"))
+
+
+def test_counted_words_are_dropped_by_compiled_filters(spark):
+    """Stop words and blanks go behind the generator: no function is interpreted for each word."""
+    from revlens.operators import profile as P
+    from revlens.operators import words as W
+
+    df = spark.createDataFrame([("P1", 5, "The Good", "tea, tea -- of THE shop 12 ok"), ("P1", 5, None, None), ("P2", 1, "", "")],
+                               "ProductId string, Score int, Summary string, Text string")
+    by_class, by_product = P.words_by_class(df, F.col("Score")), W.dashboard_words(df)
+    assert sorted(r.word for r in by_class.collect()) == ["good", "ok", "shop", "tea", "tea"]
+    assert sorted(tuple(r) for r in by_product.collect()) == [("P1", "shop"), ("P1", "tea"), ("P1", "tea")]
+    for x in (by_class, by_product):
+        assert "lambda" not in x._jdf.queryExecution().executedPlan().toString()
