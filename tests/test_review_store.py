@@ -92,3 +92,16 @@ def test_texts_are_not_stored_with_the_reviews_and_join_by_every_repeated_id(spa
     assert not {"Text", "Summary"} & set(published_facts(spark, d).columns)
     for name in ("distinct_labels", "confusion_matrix", "batch_accuracy", "insights", "product_trend", "confidence_band"):
         assert "documents" not in _plan(E.queries()[name](spark, d)), name
+
+
+def test_text_work_has_its_tasks_where_documents_are_one_file_larger_than_the_facts(spark, tmp_path):
+    import random
+
+    draw = random.Random(1)
+    _tables(spark, tmp_path, [(0, "x")])
+    texts = spark.createDataFrame([(k, draw.randbytes(120_000).hex()) for k in range(60)], "doc_id long, text string").coalesce(1)
+    texts.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")  # over 10 MB
+    rows = reviews(spark, str(tmp_path)).select("Id", F.length("Text").alias("n"))
+    got = rows.select("*", F.spark_partition_id().alias("p")).collect()
+    assert len(got) == 40 and {r.n for r in got} == {240_000}
+    assert len({r.p for r in got}) >= 4
