@@ -214,3 +214,20 @@ def test_words_meet_the_bayes_model_where_they_are_read(spark):
                 if (kind, t) in known:
                     want[r.Id, kind, t] = want.get((r.Id, kind, t), 0) + 1
     assert got == {(*k, n) for k, n in want.items()} and {k for _, k, _ in want} == {"u", "b"}
+
+
+def test_scoring_makes_words_and_pairs_as_expressions(spark):
+    """The same features as the fitted pipeline's, fitted or applied, with no function over Java strings but the vectorisers."""
+    rows = _toy(spark)
+    fz = FE.fit(FE.feature_pipeline(min_df=2, min_doc_freq=2), rows)
+    own = FE.feature_pipeline(min_df=2, min_doc_freq=2).fit(rows)
+    for a, b in zip(fz.stages, own.stages, strict=True):
+        assert type(a) is type(b) and (not hasattr(a, "vocabulary") or sorted(a.vocabulary) == sorted(b.vocabulary))
+    odd = spark.createDataFrame([(900, "", 1), (901, "great", 2), (902, "the the of", 0), (903, "good good tea the good", 0)], rows.schema)
+    both = rows.unionByName(odd)
+    columns = ["Id", "words_raw", "words_filtered", "bigrams", "features"]
+    a, b = ({r.Id: tuple(r) for r in x.select(*columns).collect()} for x in (FE.transform(fz, both), fz.transform(both)))
+    assert a == b and len(a) == both.count()
+    lr = MO.logistic_regression(5, 0.1, weighted=False).fit(FE.with_label_index(fz.transform(rows)))
+    plan = MO.score(fz, lr, both)._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF(cleaned_text" not in plan and "UDF(words_raw" not in plan and plan.count("UDF(words_filtered") == 1
